@@ -1,0 +1,42 @@
+"""Python twins of a few column functions, for use inside per-page extraction.
+
+They follow the same rules as ``strata.functions`` (which is what every
+DataFrame path uses); extraction code runs inside ``mapInPandas`` and needs
+them on plain strings.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import re
+from datetime import date, datetime
+
+_WS = re.compile(r"\s+")
+
+
+def sha1(text: str) -> str:
+    return hashlib.sha1(text.encode("utf-8")).hexdigest()
+
+
+def hash5(text: str) -> str:
+    return f"{int(sha1(text)[:12], 16) % 100000:05d}"
+
+
+def id_from_url(url: str | None) -> str | None:
+    return sha1(url.strip()) if url else None
+
+
+def clean(text: str | None) -> str | None:
+    if text is None:
+        return None
+    t = _WS.sub(" ", text).strip()
+    return t or None
+
+
+def parse_long_date(s: str | None) -> date | None:
+    if not s:
+        return None
+    try:
+        return datetime.strptime(s.strip(), "%B %d, %Y").date()
+    except ValueError:
+        return None
