@@ -20,6 +20,12 @@ WS_CLASS = (
 )
 WS_RUN = WS_CLASS + "+"
 
+# The same set as a plain string, built from the code-point ranges above, for
+# ``trim(BOTH <chars> FROM x)`` (far cheaper than an anchored regex).
+_WS_RANGES = [(0x09, 0x0D), (0x1C, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x2000, 0x200A),
+              (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000)]
+WS_CHARS = "".join(chr(c) for lo, hi in _WS_RANGES for c in range(lo, hi + 1))
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -27,14 +33,13 @@ def _c(x) -> Column:
 
 def ustrip(x) -> Column:
     """Python ``str.strip()``: remove leading/trailing Unicode whitespace."""
-    return F.regexp_replace(_c(x), f"^{WS_RUN}|{WS_RUN}$", "")
+    return F.trim(_c(x), F.lit(WS_CHARS))
 
 
 def clean(x) -> Column:
     """Collapse whitespace runs to one space, strip, empty -> null."""
     collapsed = F.regexp_replace(_c(x), WS_RUN, " ")
-    stripped = F.regexp_replace(collapsed, "^ | $", "")
-    return F.nullif(stripped, F.lit(""))
+    return F.nullif(F.trim(collapsed), F.lit(""))
 
 
 def text_value(x) -> Column:
@@ -42,14 +47,15 @@ def text_value(x) -> Column:
     return F.nullif(ustrip(_c(x).cast("string")), F.lit(""))
 
 
-def after_prefix(x, prefix: str) -> Column:
+def after_prefix(cleaned, prefix: str) -> Column:
     """Text after a case-insensitive prefix such as ``record:``; no prefix -> null.
 
-    The value is cleaned first, as the extraction does, then stripped.
+    Takes already *cleaned* text (see ``clean``); project the cleaned value in
+    its own ``select`` first so the regex work is not repeated per branch.
     """
-    cleaned = clean(x)
-    rest = F.regexp_extract(cleaned, f"(?is)^{prefix}(.*)$", 1)
-    return F.when(F.lower(cleaned).startswith(prefix.lower()), ustrip(rest))
+    c = _c(cleaned)
+    head = F.lower(F.substring(c, 1, len(prefix)))
+    return F.when(head == prefix.lower(), ustrip(F.substring(c, len(prefix) + 1, 2147483647)))
 
 
 def normalise_label(x) -> Column:

@@ -1,0 +1,18 @@
+"""Parallelism for CPU-heavy narrow work (regex over text, page parsing).
+
+A scan yields one task per file split. On a cluster reading many large
+files that is already thousands of tasks and ``spread`` does nothing; on a
+small or single-file input (one Parquet row group) it round-robins the rows
+over the available cores before the expensive per-row expressions run.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame) -> DataFrame:
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

@@ -18,6 +18,7 @@ from pyspark.sql.types import (DoubleType, LongType, StringType, StructField, St
 
 from strata.functions import codes, dates, keys, nested, text, units
 from strata.operators import dedupe, dims, extract, facts, loads, quality
+from strata.operators.parallel import spread
 from strata.operators import keys as sk
 from strata.session import apply_runtime_conf, workspace_path
 from strata.sources import ledger, partitions, tables
@@ -96,7 +97,7 @@ def _label_items(customer: DataFrame) -> DataFrame:
 def q_label_value_pivot(spark, sf):
     """``Label: value`` items -> columns, last occurrence wins, unknown labels ignored."""
     from strata.operators.pivot import pivot_label_items
-    items = _label_items(tbl(spark, sf, "customer"))
+    items = _label_items(spread(tbl(spark, sf, "customer")))
     return pivot_label_items(items, "items", {"NAME": "name", "SEGMENT": "segment", "NATION": "nation"},
                              keep=["c_custkey"])
 
@@ -437,7 +438,7 @@ def q_map_lookup(spark, sf):
 
 
 def q_natural_sort(spark, sf):
-    li = tbl(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    li = spread(tbl(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag"))
     ks = F.array(F.col("l_linenumber").cast("string"), (F.col("l_linenumber") * 5).cast("string"),
                  F.concat(F.lit("x"), F.col("l_returnflag")), (F.col("l_linenumber") + 7).cast("string"))
     out = li.select("l_orderkey", "l_linenumber", F.posexplode(nested.natural_key_order(ks)).alias("p", "round_key"))
@@ -490,7 +491,7 @@ def q_hash_keys(spark, sf):
 
 
 def q_composite_key(spark, sf):
-    li = tbl(spark, sf, "lineitem")
+    li = spread(tbl(spark, sf, "lineitem"))
     part = F.when(F.col("l_returnflag") == "R", F.lit(None)).otherwise(F.col("l_partkey"))
     fid = keys.composite_id("l_orderkey", part, "l_suppkey", "l_linenumber")
     return li.select("l_orderkey", "l_linenumber", "l_partkey", fid.alias("fid"), keys.short_id(fid).alias("fid_hash5"))
@@ -503,17 +504,17 @@ def q_url_slug(spark, sf):
 
 
 def q_clean_text(spark, sf):
-    d = tbl(spark, sf, "documents")
-    c = text.clean("text")
-    return d.select("doc_id", c.alias("clean_text"), F.length(c).cast("bigint").alias("n_clean"),
+    d = spread(tbl(spark, sf, "documents")).select("doc_id", text.clean("text").alias("clean_text"), "lang")
+    return d.select("doc_id", "clean_text", F.length("clean_text").cast("bigint").alias("n_clean"),
                     text.text_value("lang").alias("lang"))
 
 
 def q_prefix_strip(spark, sf):
-    d = tbl(spark, sf, "documents")
+    d = spread(tbl(spark, sf, "documents"))
     rec = F.concat(F.when(F.col("lang") == "en", F.lit("Record: ")).when(F.col("lang") == "de", F.lit("RECORD:"))
                    .otherwise(F.lit("")), F.col("text"))
-    return d.select("doc_id", text.after_prefix(rec, "record:").alias("record"))
+    cleaned = d.select("doc_id", text.clean(rec).alias("c"))
+    return cleaned.select("doc_id", text.after_prefix("c", "record:").alias("record"))
 
 
 def _date_texts(o: DataFrame) -> Column:
@@ -535,7 +536,7 @@ def q_parse_date_long(spark, sf):
 
 
 def q_parse_date_multi(spark, sf):
-    o = tbl(spark, sf, "orders")
+    o = spread(tbl(spark, sf, "orders"))
     txt = _date_texts(o)
     return o.select("o_orderkey", txt.alias("txt"), dates.to_ddmmyyyy(txt).alias("ddmmyyyy"))
 
@@ -686,7 +687,7 @@ def q_prepare_nested(spark, sf):
 
 
 def q_output_contract(spark, sf):
-    o = tbl(spark, sf, "orders").select(
+    o = spread(tbl(spark, sf, "orders")).select(
         F.when(F.col("o_orderstatus") == "P", F.lit("x")).otherwise(F.col("o_orderkey").cast("string")).alias("id_evento"),
         F.col("o_orderpriority").alias("nome"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("data_evento"),
         F.col("o_orderdate").alias("ingerido_em"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("dt_particao"),
