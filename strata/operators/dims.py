@@ -17,6 +17,11 @@ from strata.functions.codes import BONUS_SEED, bonus_label
 from strata.operators.keys import max_id, number_rows
 
 
+def _ts(now) -> Column:
+    """Run timestamp: one literal per batch (never a per-row clock)."""
+    return now if isinstance(now, Column) else F.lit(now).cast("timestamp")
+
+
 def changed(new: Column, old: Column, trim: bool) -> Column:
     """New value is non-empty and differs from the old one (or '')."""
     old_v = F.coalesce(old, F.lit(""))
@@ -40,7 +45,7 @@ def upsert_dimension(current: DataFrame, candidates: DataFrame, key: str, id_col
     """
     if mode not in ("changed", "always"):
         raise ValueError(f"unknown upsert mode: {mode}")
-    now_c = F.lit(now).cast("timestamp") if isinstance(now, str) else now
+    now_c = _ts(now)
     trim_compare = dict(trim_compare or {})
     cand = candidates.where(F.col(key).isNotNull()).select(
         key, *[F.col(a).alias(f"_new_{a}") for a in attrs], F.lit(True).alias("_in_cand"))
@@ -84,7 +89,7 @@ def upsert_code_dimension(current: DataFrame, observed_codes: DataFrame, code_co
 
     The code itself is the key, so there is no surrogate numbering.
     """
-    now_c = F.lit(now).cast("timestamp") if isinstance(now, str) else now
+    now_c = _ts(now)
     cand = code_candidates(observed_codes, code_col).select(code_col, F.col("descricao_bonus").alias("_new"))
     cur = current.select(code_col, "descricao_bonus", "criado_em", "atualizado_em", F.lit(True).alias("_in_cur"))
     both = cur.join(cand, code_col, "full_outer")

@@ -68,9 +68,11 @@ def incremental_merge(stored: Mapping[str, DataFrame], batch: Mapping[str, DataF
     delete = current.union(stale_ids(scope, current, event_id)).distinct()
     out = {}
     for t in event_tables:
-        out[t] = stored[t].join(delete, event_id, "left_anti").unionByName(batch[t])
+        kept = stored[t].join(delete, event_id, "left_anti").select(*stored[t].columns)
+        out[t] = kept.unionByName(batch[t])
     people = distinct_ids(batch[person_table], person_id)
-    out[person_table] = stored[person_table].join(people, person_id, "left_anti").unionByName(batch[person_table])
+    kept = stored[person_table].join(people, person_id, "left_anti").select(*stored[person_table].columns)
+    out[person_table] = kept.unionByName(batch[person_table])
     return out
 
 
