@@ -3,8 +3,9 @@
 Only new natural keys receive ids, numbered ``max(existing) + 1, + 2, ...``
 in natural-key order; existing ids never change. Numbering is distributed:
 range-partition and sort the new keys, record each row's position in its
-partition, cut lineage with ``checkpoint()`` (so a lost executor cannot
-re-number anything), then add per-partition offsets. The offsets table has
+partition, cut lineage by writing that to a table in the shared checkpoint
+folder (so a lost executor cannot re-number anything: positions are read
+back from storage, never recomputed), then add per-partition offsets. The offsets table has
 one row per partition, so collecting it is bounded by the partition count,
 not by the data.
 """
@@ -16,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.session import ensure_checkpoint_dir
+from strata.session import workspace_path
 
 
 def _cols(xs) -> list[Column]:
@@ -40,14 +41,14 @@ def number_rows(df: DataFrame, order_by: Sequence, id_col: str, start_after: int
     ``order_by`` must be a total order over the rows (e.g. a distinct key).
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     order = _cols(order_by)
     ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
-    staged = (ranged.sortWithinPartitions(*order)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_pos", F.monotonically_increasing_id()
-                          - F.shiftleft(F.col("_pid").cast("bigint"), 33))
-              .checkpoint(eager=True))
+    path = workspace_path(spark, "numbered")
+    (ranged.sortWithinPartitions(*order)
+     .withColumn("_pid", F.spark_partition_id())
+     .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("bigint"), 33))
+     .write.parquet(path))
+    staged = spark.read.parquet(path)
     counts = sorted((r["_pid"], r["n"]) for r in staged.groupBy("_pid").agg(F.count("*").alias("n")).collect())
     if not counts:
         return staged.drop("_pid", "_pos").withColumn(id_col, F.lit(None).cast("bigint"))

@@ -771,8 +771,7 @@ def _flatten_state(state) -> DataFrame:
 
 
 def _store_versions(spark, store: tables.VersionedTables, state) -> dict:
-    staged = {name: store.stage(name, df) for name, df in state.items()}
-    store.commit(staged)
+    store.commit(store.stage_all(state))
     return {name: store.read(name) for name in state}
 
 

@@ -171,7 +171,7 @@ def run_silver(spark: SparkSession, bronze_events: DataFrame, bronze_fights: Dat
     else:
         stored = {t: store.read(t, None) if store.current_path(t) else batch[t].limit(0) for t in batch}
         state = loads.incremental_merge(stored, batch, anchor=anchor, days=scope_days)
-    staged = {t: store.stage(t, df) for t, df in state.items()}
+    staged = store.stage_all(state)
     staged_frames = {t: spark.read.parquet(p) for t, p in staged.items()}
     for t, (key, limits) in QUALITY_RULES.items():
         quality.assert_clean(staged_frames[t], key=key, max_len=limits)

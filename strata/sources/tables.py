@@ -122,6 +122,13 @@ class VersionedTables:
         df.write.mode("errorifexists").parquet(path)
         return path
 
+    def stage_all(self, frames: Mapping[str, DataFrame]) -> dict[str, str]:
+        """Stage several tables at once: independent write jobs submitted concurrently."""
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=max(1, min(4, len(frames)))) as pool:
+            futures = {name: pool.submit(self.stage, name, df) for name, df in frames.items()}
+            return {name: f.result() for name, f in futures.items()}
+
     def commit(self, staged: Mapping[str, str]) -> None:
         """Make staged versions current with one append to the commit log."""
         log = self._log()
