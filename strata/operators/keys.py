@@ -50,16 +50,15 @@ def number_rows(df: DataFrame, order_by: Sequence, id_col: str, start_after: int
      .write.parquet(path))
     staged = spark.read.parquet(path)
     counts = sorted((r["_pid"], r["n"]) for r in staged.groupBy("_pid").agg(F.count("*").alias("n")).collect())
-    if not counts:
-        return staged.drop("_pid", "_pos").withColumn(id_col, F.lit(None).cast("bigint"))
-    offsets, running = {}, 0
+    offsets, running = [], 0
     for pid, n in counts:
-        offsets[pid] = running
+        offsets.append((pid, running))
         running += n
-    offset_map = F.create_map(*[F.lit(x) for kv in offsets.items() for x in kv])
-    return (staged.withColumn(id_col, (F.lit(start_after) + F.element_at(offset_map, F.col("_pid"))
-                                       + F.col("_pos") + 1).cast("bigint"))
-            .drop("_pid", "_pos"))
+    # One row per partition: the broadcast size is bounded by the partition count.
+    offset_df = spark.createDataFrame(offsets, "_pid int, _off long")
+    return (staged.join(F.broadcast(offset_df), "_pid", "inner")
+            .withColumn(id_col, (F.lit(start_after) + F.col("_off") + F.col("_pos") + 1).cast("bigint"))
+            .drop("_pid", "_pos", "_off"))
 
 
 def missing_keys(candidates: DataFrame, current: DataFrame, key: str) -> DataFrame:
