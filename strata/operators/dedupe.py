@@ -20,6 +20,15 @@ def _cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
+def content_hash(df: DataFrame) -> Column:
+    """Deterministic last tie-breaker: a hash of the whole row's content.
+
+    Read order is not stable across re-reads or task retries; a content hash
+    is, so a retried task after an executor loss keeps the same row.
+    """
+    return F.xxhash64(F.to_json(F.struct(*[F.col(c) for c in df.columns])))
+
+
 def first_per_key(df: DataFrame, key, order_by: Sequence) -> DataFrame:
     """Keep the first row per key under an explicit total order.
 

@@ -53,7 +53,7 @@ def latest_pages(pages: DataFrame, kind: str, dt: str | None = None) -> DataFram
     p = pages.where(F.col("kind") == kind)
     if dt is not None:
         p = p.where(F.col("dt") == dt)
-    return dedupe.first_per_key(p, "page_key", [F.col("dt").desc()]).select("page_key", "html")
+    return dedupe.first_per_key(p, "page_key", [F.col("dt").desc(), F.xxhash64("html")]).select("page_key", "html")
 
 
 def run_bronze(spark: SparkSession, pages: DataFrame, out_root: str, *, dt: str, ingested_at: str,

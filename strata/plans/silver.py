@@ -36,10 +36,17 @@ def _tiebreak(df: DataFrame) -> list:
 
 
 def dedupe_latest(df: DataFrame, key: str) -> DataFrame:
-    """Latest version per key by ``ingested_at`` (bad/missing last), read order on ties."""
+    """Latest version per key by ``ingested_at`` (bad/missing last), read order on ties.
+
+    Without a recorded line position, identical (key, time, partition) rows
+    are ordered by a content hash so the choice is deterministic.
+    """
+    ties = _tiebreak(df)
+    if "_read_order" not in df.columns:
+        ties = [*ties, dedupe.content_hash(df)]
     if "ingested_at" in df.columns:
-        return dedupe.latest_per_key(df, key, "ingested_at", _tiebreak(df))
-    return dedupe.first_per_key(df, key, _tiebreak(df) or [key])
+        return dedupe.latest_per_key(df, key, "ingested_at", ties)
+    return dedupe.first_per_key(df, key, ties)
 
 
 def prepare_events(bronze: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -14,7 +15,8 @@ SF_ORACLE = "/root/testdata/sf0.01"
 def spark():
     from strata.session import get_session
     s = get_session("local[4]", shuffle_partitions=8, app_name="strata-tests",
-                    extra={"spark.default.parallelism": "4"})
+                    extra={"spark.default.parallelism": "4",
+                           "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="strata-wh-")})
     yield s
     s.stop()
 

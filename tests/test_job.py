@@ -106,3 +106,26 @@ def test_missing_partition_is_an_error(spark, root):
     from strata.sources import partitions
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
         partitions.read_partition(spark, os.path.join(root, "bronze", "eventos"), "1999-01-01", BRONZE_EVENTS).count()
+
+
+def test_import_page_files_and_frontier(spark, root):
+    folder = os.path.join(root, "landing", "lutas")
+    os.makedirs(folder, exist_ok=True)
+    for key, name in (("f1", "fight.html"), ("f2", "fight_no_rounds.html")):
+        with open(os.path.join(folder, f"{key}.html"), "w", encoding="utf-8") as f:
+            f.write(page(name))
+    pages = bronze.import_page_files(spark, os.path.join(folder, "*.html"), "fight", "2024-06-02")
+    got = {r["page_key"]: r["html"] for r in pages.collect()}
+    assert sorted(got) == ["f1", "f2"] and got["f1"] == page("fight.html")
+    idx = spark.createDataFrame([("f1",), ("f2",), ("f3",)], "page_key string")
+    assert [r[0] for r in bronze.fetch_frontier(idx, pages, "fight", "page_key").collect()] == ["f3"]
+    assert bronze.fetch_frontier(idx, pages, "fight", "page_key", use_cache=False).count() == 3
+    assert bronze.fetch_frontier(idx, pages, "fight", "page_key", dt="1999-01-01").count() == 3
+
+
+def test_drop_obsolete_tables(spark):
+    from strata.sources.tables import drop_tables, ensure_database
+    ensure_database(spark, "silver_test")
+    spark.range(3).write.mode("overwrite").saveAsTable("silver_test.obsolete_history")
+    drop_tables(spark, "silver_test", ["obsolete_history", "never_existed"])
+    assert not spark.catalog.tableExists("silver_test.obsolete_history")
