@@ -224,6 +224,18 @@ UNION ALL SELECT 'lutadores', id_lutador, CAST(NULL AS BIGINT), tag, CAST(NULL A
 {flat}"""
 
 
+def unescape(x: str) -> str:
+    """The common character references (the parser decodes all of them)."""
+    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", "' || chr(160) || '"),
+                    ("&copy;", "' || chr(169) || '"), ("&middot;", "' || chr(183) || '"), ("&amp;", "&")):
+        x = f"replace({x}, '{ent}', '{ch}')"
+    return x
+
+
+# Flat list items of every <nav> (the regex form of the DOM rule; nested lists excluded).
+NAV_ITEMS = """flatten(list_transform(regexp_extract_all(html, '(?s)<nav[^>]*>(.*?)</nav>', 1),
+                                   lambda n: regexp_extract_all(n, '(?s)<li[^>]*>(.*?)</li>', 1)))"""
+
 ORACLES: dict[str, str] = {
     "page_link_fact": f"""
 WITH p AS (SELECT page_id, html, {url_id('url')} AS page_key FROM pages),
@@ -250,6 +262,25 @@ WITH l AS (SELECT page_id, unnest(regexp_extract_all(html, '{LINK}', 1)) AS href
 SELECT page_id, link_pos, href, {clean('link_text')} AS link_text, regexp_extract(href, '([^/]*)/*$', 1) AS slug
 FROM l""",
 
+    "page_table_extract": f"""
+WITH it AS (SELECT page_id, {NAV_ITEMS} AS items FROM pages),
+u AS (SELECT page_id, unnest(items) AS li, generate_subscripts(items, 1) AS item_pos FROM it)
+SELECT page_id, CAST(item_pos AS BIGINT) AS item_pos,
+       {unescape("NULLIF(regexp_extract(li, '<a[^>]*href=\"([^\"]*)\"', 1), '')")} AS href,
+       {clean(unescape("regexp_replace(li, '<[^>]*>', '', 'g')"))} AS item_text
+FROM u""",
+
+    "profile_page_extract": f"""
+SELECT page_id,
+       {clean(unescape("regexp_replace(regexp_extract(html, '(?s)<title[^>]*>(.*?)</title>', 1), '<[^>]*>', '', 'g')"))} AS title,
+       {clean(unescape("regexp_replace(regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1), '<[^>]*>', '', 'g')"))} AS h1,
+       CAST(len(regexp_extract_all(html, '(?i)<p[\s>/]', 0)) AS BIGINT) AS n_paragraphs,
+       CAST(len(regexp_extract_all(html, '(?i)<a[\s>/]', 0)) AS BIGINT) AS n_links,
+       {clean(unescape("regexp_replace(regexp_extract(html, '(?s)<div class=\"ad\">(.*?)</div>', 1), '<[^>]*>', '', 'g')"))} AS ad_text,
+       {clean(unescape("regexp_replace(regexp_extract(html, '(?s)<footer[^>]*>(.*?)</footer>', 1), '<[^>]*>', '', 'g')"))} AS footer,
+       NULLIF(regexp_extract(html, '<html[^>]*\slang="([^"]*)"', 1), '') AS lang
+FROM pages""",
+
     "label_value_pivot": f"""
 WITH it AS (SELECT c_custkey, ['Name: ' || c_name, 'SEGMENT :' || c_mktsegment,
                                'Nation:' || chr(160) || CAST(c_nationkey AS VARCHAR), 'no label here',
