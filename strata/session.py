@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -67,3 +69,30 @@ def apply_runtime_conf(spark: SparkSession) -> None:
     """Runtime SQL settings the jobs depend on (safe on an existing session)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+
+
+_shipped: set = set()
+_ship_lock = threading.Lock()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``strata`` importable in Python workers (as ``--py-files`` would).
+
+    Only ``mapInPandas`` stages run Python on executors; they import the
+    extraction rules from this package. The zip is built once per application
+    and distributed by Spark's file server.
+    """
+    sc = spark.sparkContext
+    with _ship_lock:
+        if sc.applicationId in _shipped:
+            return
+        pkg = os.path.dirname(os.path.abspath(__file__))
+        zpath = os.path.join(tempfile.mkdtemp(prefix="strata-pyfiles-"), "strata.zip")
+        with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+            for root, _, files in os.walk(pkg):
+                for f in files:
+                    if f.endswith(".py"):
+                        full = os.path.join(root, f)
+                        z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+        sc.addPyFile(zpath)
+        _shipped.add(sc.applicationId)
