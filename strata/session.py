@@ -24,16 +24,45 @@ BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Page extraction ships whole HTML documents per Arrow batch: keep batches
+    # small enough that a batch of large pages fits comfortably in a worker.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
 }
 
+MB = 1024 * 1024
+
+
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 * MB) -> dict:
+    """Partition sizing for a given input volume (e.g. 100 TB on 1000 executors).
+
+    Scan splits and shuffle partitions aim at ``target_partition_bytes`` so a
+    task's working set fits executor memory without spilling; AQE starts from
+    that many shuffle partitions and coalesces small ones at runtime, and
+    splits skewed ones.
+    """
+    parts = max(total_cores * 3, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * MB),
+    }
+
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "strata", extra: dict | None = None) -> SparkSession:
+                app_name: str = "strata", extra: dict | None = None,
+                input_bytes: int | None = None, total_cores: int | None = None) -> SparkSession:
+    """Session with the engine's settings; with ``input_bytes`` and ``total_cores``
+    the partition sizing of ``scale_conf`` is applied as well."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
     conf["spark.ui.enabled"] = "false"
+    if input_bytes and total_cores:
+        conf.update(scale_conf(input_bytes, total_cores))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

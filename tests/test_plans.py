@@ -58,3 +58,10 @@ def test_no_unbounded_collect_in_library():
                 found.add((rel, call))
     assert "toPandas()" not in {c for _, c in found}
     assert found <= allowed, found - allowed
+
+
+def test_scale_conf_sizes_partitions():
+    from strata.session import scale_conf
+    c = scale_conf(100 * 1024 ** 4, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) * int(c["spark.sql.files.maxPartitionBytes"]) >= 100 * 1024 ** 4
+    assert int(scale_conf(10 * 1024 ** 2, 8)["spark.sql.shuffle.partitions"]) == 24
