@@ -185,3 +185,27 @@ def run_silver(spark: SparkSession, bronze_events: DataFrame, bronze_fights: Dat
     store.commit(staged)
     fights.unpersist()
     return {t: staged_frames[t].count() for t in ("eventos", "lutas", "lutadores", "historico_lutas")}
+
+
+def load(spark: SparkSession, bronze_root: str, store: tables.VersionedTables, ledger_path: str, *,
+         dt: str | None, anchor: str, now, run_id: str, force: bool = False) -> dict[str, int]:
+    """Silver job driven by the run ledger.
+
+    The newest completed bronze run for ``dt`` decides the load: ``initial``
+    -> full rebuild, otherwise incremental scope-replace. Loading a ``dt``
+    older than the newest completed silver load would treat newer in-scope
+    events as stale and delete them, so it is refused unless ``force``.
+    """
+    from strata.plans.bronze import read_bronze
+    from strata.sources import ledger
+    runs = spark.read.parquet(ledger_path)
+    last_silver = (runs.where((F.col("estagio") == "silver") & (F.col("status") == ledger.DONE))
+                   .agg(F.max("dt").alias("m")).first()["m"])
+    if dt is not None and last_silver is not None and dt < last_silver and not force:
+        raise ValueError(f"dt {dt} is older than the last silver load ({last_silver}); pass force=True")
+    load_type = ledger.load_type_for(runs.where(F.col("estagio") != "silver"), dt)
+    bronze = read_bronze(spark, bronze_root, dt)
+    counts = run_silver(spark, bronze["eventos"], bronze["lutas"], bronze["lutadores"], store,
+                        full=(load_type == "initial"), anchor=anchor, now=now)
+    ledger.record_run(spark, ledger_path, run_id, dt or "", load_type, "silver", now)
+    return counts

@@ -129,3 +129,19 @@ def test_drop_obsolete_tables(spark):
     spark.range(3).write.mode("overwrite").saveAsTable("silver_test.obsolete_history")
     drop_tables(spark, "silver_test", ["obsolete_history", "never_existed"])
     assert not spark.catalog.tableExists("silver_test.obsolete_history")
+
+
+def test_ledger_driven_silver_load(spark):
+    root = tempfile.mkdtemp(prefix="strata-ledger-")
+    bronze.run_bronze(spark, landed(spark), root, dt="2024-06-02", ingested_at="2024-06-02T10:00:00Z",
+                      full_load=True, anchor="2024-06-02")
+    path = os.path.join(root, "ledger2")
+    ledger.record_run(spark, path, "b1", "2024-06-02", "initial", "bronze", dt.datetime(2024, 6, 2, 9))
+    store = tables.VersionedTables(spark, os.path.join(root, "silver2"))
+    now = dt.datetime(2024, 6, 2, 12)
+    counts = silver.load(spark, root, store, path, dt="2024-06-02", anchor="2024-06-02", now=now, run_id="s1")
+    assert counts["historico_lutas"] == 10
+    runs = spark.read.parquet(path)
+    assert runs.where("estagio = 'silver' AND tipo_carga = 'initial'").count() == 1
+    with pytest.raises(ValueError, match="older than the last silver load"):
+        silver.load(spark, root, store, path, dt="2024-06-01", anchor="2024-06-02", now=now, run_id="s2")
