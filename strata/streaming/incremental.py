@@ -37,3 +37,27 @@ def run_available(spark: SparkSession, base: str, schema: StructType, checkpoint
 
 def count_by_partition(batch: DataFrame) -> DataFrame:
     return batch.groupBy("dt_particao").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def silver_on_new_partitions(spark: SparkSession, bronze_root: str, store, checkpoint: str, *,
+                             anchor: str, now) -> None:
+    """Incremental silver load for every bronze ``dt`` not yet processed.
+
+    The stream over the bronze events set only tracks *which* partitions are
+    new (exactly once per checkpoint); each new ``dt`` is then loaded by the
+    batch merge. The list of new dates per micro-batch is one row per
+    partition, so it is small by construction.
+    """
+    import os
+
+    from strata.plans.bronze import read_bronze
+    from strata.plans.silver import run_silver
+    from strata.schemas import BRONZE_EVENTS
+
+    def handle(batch: DataFrame, epoch: int) -> None:
+        new_dts = sorted(r["dt_particao"] for r in batch.select("dt_particao").distinct().collect())
+        for d in new_dts:
+            b = read_bronze(spark, bronze_root, d)
+            run_silver(spark, b["eventos"], b["lutas"], b["lutadores"], store, full=False, anchor=anchor, now=now)
+
+    run_available(spark, os.path.join(bronze_root, "bronze", "eventos"), BRONZE_EVENTS, checkpoint, handle)

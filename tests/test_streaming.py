@@ -29,3 +29,24 @@ def test_new_partitions_once(spark):
     seen = spark.read.parquet(sink)
     assert seen.agg(F.sum("rows")).first()[0] == ev.count()
     assert seen.groupBy("dt_particao").count().where("count > 1").count() == 0
+
+
+def test_stream_drives_silver_merge(spark):
+    import datetime as dt
+
+    from strata.plans import bronze
+    from strata.sources import tables
+    from strata.streaming.incremental import silver_on_new_partitions
+    from test_job import landed
+
+    root = tempfile.mkdtemp(prefix="strata-stream-silver-")
+    bronze.run_bronze(spark, landed(spark), root, dt="2024-06-02", ingested_at="2024-06-02T10:00:00Z",
+                      full_load=True, anchor="2024-06-02")
+    store = tables.VersionedTables(spark, os.path.join(root, "silver"))
+    ckpt = os.path.join(root, "ckpt")
+    now = dt.datetime(2024, 6, 2, 12)
+    silver_on_new_partitions(spark, root, store, ckpt, anchor="2024-06-02", now=now)
+    assert store.read("historico_lutas").count() == 10
+    first = store.current_path("eventos")
+    silver_on_new_partitions(spark, root, store, ckpt, anchor="2024-06-02", now=now)  # nothing new
+    assert store.current_path("eventos") == first
