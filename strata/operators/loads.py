@@ -65,7 +65,7 @@ def incremental_merge(stored: Mapping[str, DataFrame], batch: Mapping[str, DataF
     """
     current = distinct_ids(batch[event_tables[0]], event_id)
     scope = scope_ids(stored[event_tables[0]], event_id, status_col, date_col, anchor, days)
-    delete = current.union(stale_ids(scope, current, event_id)).distinct()
+    delete = materialize(current.union(stale_ids(scope, current, event_id)).distinct(), "delete-ids")
     out = {}
     for t in event_tables:
         kept = stored[t].join(delete, event_id, "left_anti").select(*stored[t].columns)
@@ -76,6 +76,18 @@ def incremental_merge(stored: Mapping[str, DataFrame], batch: Mapping[str, DataF
     return out
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and read it back.
+
+    Used for the delete-id set, which three anti-joins read: it is computed
+    once, and a retried task sees exactly the same set.
+    """
+    from strata.session import workspace_path
+    path = workspace_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def full_load(batch: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """A full load is the batch itself; the sink overwrites every table."""
     return dict(batch)
