@@ -274,11 +274,11 @@ FROM u""",
 SELECT page_id,
        {clean(unescape("regexp_replace(regexp_extract(html, '(?s)<title[^>]*>(.*?)</title>', 1), '<[^>]*>', '', 'g')"))} AS title,
        {clean(unescape("regexp_replace(regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1), '<[^>]*>', '', 'g')"))} AS h1,
-       CAST(len(regexp_extract_all(html, '(?i)<p[\s>/]', 0)) AS BIGINT) AS n_paragraphs,
-       CAST(len(regexp_extract_all(html, '(?i)<a[\s>/]', 0)) AS BIGINT) AS n_links,
+       CAST(len(regexp_extract_all(html, '(?i)<p[\\s>/]', 0)) AS BIGINT) AS n_paragraphs,
+       CAST(len(regexp_extract_all(html, '(?i)<a[\\s>/]', 0)) AS BIGINT) AS n_links,
        {clean(unescape("regexp_replace(regexp_extract(html, '(?s)<div class=\"ad\">(.*?)</div>', 1), '<[^>]*>', '', 'g')"))} AS ad_text,
        {clean(unescape("regexp_replace(regexp_extract(html, '(?s)<footer[^>]*>(.*?)</footer>', 1), '<[^>]*>', '', 'g')"))} AS footer,
-       NULLIF(regexp_extract(html, '<html[^>]*\slang="([^"]*)"', 1), '') AS lang
+       NULLIF(regexp_extract(html, '<html[^>]*\\slang="([^"]*)"', 1), '') AS lang
 FROM pages""",
 
     "label_value_pivot": f"""
