@@ -120,9 +120,8 @@ def _index_users(spark, sf) -> DataFrame:
 
 def q_page_join(spark, sf):
     idx = _index_users(spark, sf)
-    pages = tbl(spark, sf, "pages")
-    joined = idx.join(pages, "page_id", "inner")
-    return extract.page_summary(joined)
+    landed = tbl(spark, sf, "pages").join(idx, "page_id", "left_semi")
+    return extract.page_summary(landed)
 
 
 def q_fetch_frontier(spark, sf):

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from strata.functions import codes, dates, units
 from strata.functions.codes import title_flag
 from strata.operators import dedupe, dims, facts, loads, quality
-from strata.schemas import (CONTRACT_EVENTS, CONTRACT_FIGHTERS, CONTRACT_FIGHTS, CONTRACT_HISTORY,
+from strata.schemas import (BIO, CAREER, CONTRACT_EVENTS, CONTRACT_FIGHTERS, CONTRACT_FIGHTS, CONTRACT_HISTORY,
                             DIM_BONUS, DIM_EVENT, DIM_FIGHT, DIM_FIGHTER, STAT_FIELDS)
 from strata.sources import tables
 
@@ -74,10 +74,11 @@ def prepare_fights(bronze: DataFrame) -> DataFrame:
 
 def prepare_fighters(bronze: DataFrame) -> DataFrame:
     """Fighters: flatten ``bio``/``career_stats`` and convert units, dates, stance."""
+    for c, t in (("name", "string"), ("profile_url", "string"), ("ingested_at", "string"),
+                 ("dt_particao", "string"), ("bio", BIO), ("career_stats", CAREER)):
+        if c not in bronze.columns:
+            bronze = bronze.withColumn(c, F.lit(None).cast(t))
     d = dedupe_latest(bronze, "fighter_id")
-    for c, t in (("name", "string"), ("profile_url", "string")):
-        if c not in d.columns:
-            d = d.withColumn(c, F.lit(None).cast(t))
     bio = lambda f: F.col(f"bio.{f}")
     cs = lambda f: F.col(f"career_stats.{f}") if f in _fields(d, "career_stats") else F.lit(None).cast("string")
     return d.select(

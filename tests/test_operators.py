@@ -101,8 +101,7 @@ def test_nested_fact(spark):
     out = facts.nested_fact(fights, "fight_id", dim_f, ["id_luta", "id_evento"], "fighters", "fighter_id", dim_p,
                             "id_lutador", "rounds", "round", parent_cols=[("bout", "tipo_luta")],
                             member_cols=[("name", "nome")], stat_fields=["sig_str"])
-    got = sorted((r["id_luta"], r["nome"], r["id_lutador"], r["round_num"], r["sig_str"]) for r in rows(out)
-                 if True)
+    got = sorted((r["id_luta"], r["nome"], r["id_lutador"], r["round_num"], r["sig_str"]) for r in rows(out))
     assert got == sorted([(10, "A", 1, 2, "1 of 2"), (10, "A", 1, 10, "3 of 5"), (10, "B", 2, 1, None),
                           (10, "B", 2, 2, None), (10, "B", 2, 3, None), (11, "C", None, None, None)])
 
@@ -165,3 +164,10 @@ def test_validate_name():
     assert validate_name("silver_1") == "silver_1"
     with pytest.raises(ValueError):
         validate_name("bad-name; drop")
+
+
+def test_prepare_fighters_fills_missing_inputs(spark):
+    from strata.plans.silver import prepare_fighters
+    df = spark.createDataFrame([("a", "2024-01-01T00:00:00Z")], "fighter_id string, ingested_at string")
+    out = rows(prepare_fighters(df))
+    assert out[0]["fighter_id"] == "a" and out[0]["altura"] is None and out[0]["slpm"] is None
