@@ -44,8 +44,9 @@ def event_index(pages: DataFrame, *, full_load: bool, anchor: str, lookback_days
         "_src", F.when(F.col("status") == "completed", 0).otherwise(1))
     rows = loads.lookback_filter(rows, "status", F.col("event_date").try_cast("date"), anchor, lookback_days,
                                  full_load=full_load)
-    ordered = rows.orderBy("_src", "list_pos")
-    return (ordered.limit(limit) if limit else ordered).drop("_src", "list_pos")
+    # completed listing first, each by date descending (missing dates last), then page order
+    ordered = rows.orderBy("_src", F.col("event_date").desc_nulls_last(), "page_pos")
+    return (ordered.limit(limit) if limit else ordered).drop("_src", "page_pos")
 
 
 def latest_pages(pages: DataFrame, kind: str, dt: str | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ import tempfile
 import pytest
 
 from conftest import rows
-from strata.helpers_py import sha1
+from test_pages import sha1
 from strata.plans import bronze, silver
 from strata.sources import ledger, tables
 
@@ -46,6 +46,11 @@ def test_bronze(spark, root):
     assert (fights["1"]["bonus_code"], fights["1"]["bout"], fights["2"]["bonus_code"], fights["2"]["bout"]) == \
         (2, "title bout", 4, "normal")
     assert fights["1"]["fighters"][0]["rounds_sig_strikes"]["2"]["sig_str"] == "10 of 20"
+    aaa = sha1("http://stats.example/event-details/aaa")
+    red, blue = "http://stats.example/fighter-details/a", "http://stats.example/fighter-details/b"
+    assert fights["1"]["fight_id"] == sha1(f"{aaa}|{red}|{blue}|1") and len(fights["1"]["fight_id_hash5"]) == 5
+    assert fights["1"]["fighters"][0]["fighter_id"] == sha1(red)
+    assert fights["1"]["event_status"] == "completed" and fights["1"]["method"] == "KO/TKO"
     assert sorted(r["name"] for r in res.fighter_index.collect()) == ["Alpha One", "Beta Two"]
     f = rows(res.fighters)
     assert len(f) == 1 and f[0]["career_stats"]["slpm"] == "4.60"
