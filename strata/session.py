@@ -61,6 +61,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.master(master)
     conf = dict(BASE_CONF)
     conf["spark.ui.enabled"] = "false"
+    conf["spark.ui.showConsoleProgress"] = "false"
     if input_bytes and total_cores:
         conf.update(scale_conf(input_bytes, total_cores))
     if shuffle_partitions:
