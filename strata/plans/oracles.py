@@ -225,10 +225,13 @@ UNION ALL SELECT 'lutadores', id_lutador, CAST(NULL AS BIGINT), tag, CAST(NULL A
 
 
 def unescape(x: str) -> str:
-    """The common character references (the parser decodes all of them)."""
-    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", "' || chr(160) || '"),
-                    ("&copy;", "' || chr(169) || '"), ("&middot;", "' || chr(183) || '"), ("&amp;", "&")):
-        x = f"replace({x}, '{ent}', '{ch}')"
+    """The character references present in the data, with the optional ';' of legacy HTML5 names.
+
+    ``&amp`` goes last so that ``&amp;lt;`` decodes once, as the parser does.
+    """
+    for ent, ch in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "''"), ("nbsp", "' || chr(160) || '"),
+                    ("copy", "' || chr(169) || '"), ("middot", "' || chr(183) || '"), ("amp", "&")):
+        x = f"regexp_replace({x}, '&{ent};?', '{ch}', 'g')"
     return x
 
 
@@ -270,6 +273,17 @@ SELECT page_id, CAST(item_pos AS BIGINT) AS item_pos,
        {clean(unescape("regexp_replace(li, '<[^>]*>', '', 'g')"))} AS item_text
 FROM u""",
 
+    "fight_page_extract": f"""
+WITH a AS (SELECT page_id, regexp_extract_all(html, '(?s)<article[^>]*>(.*?)</article>', 1) AS arts FROM pages),
+s AS (SELECT page_id, flatten(list_transform(arts, lambda x: string_split_regex(x, '<p(?:\\s[^>]*)?>')[2:])) AS segs
+      FROM a),
+u AS (SELECT page_id, unnest(segs) AS seg, generate_subscripts(segs, 1) AS para_pos FROM s),
+t AS (SELECT page_id, para_pos,
+             {clean(unescape("regexp_replace(regexp_extract(seg, '(?s)^(.*?)(?:</p>|$)', 1), '<[^>]*>', '', 'g')"))}
+             AS para_text FROM u)
+SELECT page_id, CAST(para_pos AS BIGINT) AS para_pos, para_text,
+       CAST(COALESCE(len(string_split(para_text, ' ')), 0) AS BIGINT) AS n_words FROM t""",
+
     "profile_page_extract": f"""
 SELECT page_id,
        {clean(unescape("regexp_replace(regexp_extract(html, '(?s)<title[^>]*>(.*?)</title>', 1), '<[^>]*>', '', 'g')"))} AS title,
