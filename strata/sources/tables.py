@@ -84,6 +84,13 @@ def evolve_union(old: DataFrame, new: DataFrame) -> DataFrame:
     return old.unionByName(new, allowMissingColumns=True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check on whatever filesystem holds ``path`` (local, HDFS, object store)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 class VersionedTables:
     """Tables stored as immutable versions plus a ``_versions`` commit log."""
 
@@ -93,12 +100,10 @@ class VersionedTables:
         self.log_path = os.path.join(root, "_versions")
 
     def _log(self) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(self.log_path)
-        except Exception as exc:  # noqa: BLE001 - missing log means no table yet
-            if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
-                return None
-            raise
+        """The commit log, or None before the first commit (checked, not caught)."""
+        if not path_exists(self.spark, self.log_path):
+            return None
+        return self.spark.read.parquet(self.log_path)
 
     def current_path(self, table: str) -> str | None:
         log = self._log()
