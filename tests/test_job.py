@@ -36,9 +36,14 @@ def root():
     return tempfile.mkdtemp(prefix="strata-job-")
 
 
-def test_bronze(spark, root):
-    res = bronze.run_bronze(spark, landed(spark), root, dt="2024-06-02", ingested_at="2024-06-02T10:00:00Z",
-                            full_load=True, anchor="2024-06-02")
+@pytest.fixture(scope="module")
+def bronze_result(spark, root):
+    return bronze.run_bronze(spark, landed(spark), root, dt="2024-06-02", ingested_at="2024-06-02T10:00:00Z",
+                             full_load=True, anchor="2024-06-02")
+
+
+def test_bronze(spark, bronze_result):
+    res = bronze_result
     idx = [(r["name"], r["status"]) for r in res.index.collect()]
     assert idx == [("Night Three", "completed"), ("Night One", "completed"), ("Night Two", "completed"),
                    ("Future Night", "upcoming")]
@@ -68,7 +73,7 @@ def _silver(spark, root, store, full):
                              anchor="2024-06-02", now=dt.datetime(2024, 6, 2, 12))
 
 
-def test_silver_full_then_incremental(spark, root):
+def test_silver_full_then_incremental(spark, root, bronze_result):
     store = tables.VersionedTables(spark, os.path.join(root, "silver"))
     counts = _silver(spark, root, store, full=True)
     assert counts == {"eventos": 4, "lutas": 2, "lutadores": 1, "historico_lutas": 10}
@@ -106,7 +111,7 @@ def test_ledger_decides_load_type(spark, root):
     assert ledger.load_type_for(runs, "2024-06-02") == "initial"
 
 
-def test_missing_partition_is_an_error(spark, root):
+def test_missing_partition_is_an_error(spark, root, bronze_result):
     from strata.schemas import BRONZE_EVENTS
     from strata.sources import partitions
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
