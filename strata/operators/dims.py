@@ -1,9 +1,11 @@
 """Dimension upserts (slowly changing, type 1) without per-row UPDATEs.
 
-One full outer join of the stored dimension with the candidate rows splits
-everything into: untouched (no candidate), matched (updated by rule) and new
-(numbered by ``keys.number_rows``). Rows are never deleted and ``created``
-is set once.
+Stored rows go through one left join with the candidates (untouched when no
+candidate matches, updated by rule when one does); new rows come from a
+key-only anti join and are numbered by ``keys.number_rows``. The two parts
+are consumed by different jobs (new ids are written first), so the wide
+dimension is joined once and only key columns are shuffled a second time.
+Rows are never deleted and ``created`` is set once.
 """
 
 from __future__ import annotations
@@ -49,9 +51,8 @@ def upsert_dimension(current: DataFrame, candidates: DataFrame, key: str, id_col
     trim_compare = dict(trim_compare or {})
     cand = candidates.where(F.col(key).isNotNull()).select(
         key, *[F.col(a).alias(f"_new_{a}") for a in attrs], F.lit(True).alias("_in_cand"))
-    cur = current.select(id_col, key, *attrs, created_col, updated_col, F.lit(True).alias("_in_cur"))
-    both = cur.join(cand, key, "full_outer")
-    in_cur = F.coalesce(F.col("_in_cur"), F.lit(False))
+    cur = current.select(id_col, key, *attrs, created_col, updated_col)
+    both = cur.join(cand, key, "left")
     in_cand = F.coalesce(F.col("_in_cand"), F.lit(False))
 
     if mode == "changed":
@@ -64,10 +65,10 @@ def upsert_dimension(current: DataFrame, candidates: DataFrame, key: str, id_col
         upd = in_cand
         new_vals = {a: F.when(upd, F.col(f"_new_{a}")).otherwise(F.col(a)) for a in attrs}
 
-    kept = (both.where(in_cur)
-            .select(id_col, key, *[new_vals[a].alias(a) for a in attrs], created_col,
-                    F.when(upd, now_c).otherwise(F.col(updated_col)).alias(updated_col)))
-    fresh = both.where(~in_cur).select(key, *[F.col(f"_new_{a}").alias(a) for a in attrs])
+    kept = both.select(id_col, key, *[new_vals[a].alias(a) for a in attrs], created_col,
+                       F.when(upd, now_c).otherwise(F.col(updated_col)).alias(updated_col))
+    fresh = (cand.join(current.select(key), key, "left_anti")
+             .select(key, *[F.col(f"_new_{a}").alias(a) for a in attrs]))
     numbered = number_rows(fresh, [key], id_col, start_after=max_id(current, id_col))
     numbered = numbered.select(id_col, key, *attrs, now_c.alias(created_col), now_c.alias(updated_col))
     id_type = dict(current.dtypes)[id_col]
