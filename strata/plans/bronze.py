@@ -60,13 +60,21 @@ def latest_pages(pages: DataFrame, kind: str, dt: str | None = None) -> DataFram
 def run_bronze(spark: SparkSession, pages: DataFrame, out_root: str, *, dt: str, ingested_at: str,
                full_load: bool, anchor: str, lookback_days: int = 30, limit: int = 0,
                max_fights_per_event: int = 0) -> BronzeResult:
-    """Build and write all bronze sets for one ``dt``; returns the frames written."""
+    """Build and write all bronze sets for one ``dt``; returns the frames written.
+
+    Every page extraction (Python parsing, the expensive part) runs once: its
+    output is written and downstream steps read the written partition back.
+    """
+    def land(name: str, df: DataFrame) -> DataFrame:
+        base = os.path.join(out_root, "bronze", name)
+        partitions.write_partitions(df.withColumn("dt", F.lit(dt)), base)
+        return partitions.read_partition(spark, base, dt, df.schema).drop("dt_particao")
+
     index = event_index(pages, full_load=full_load, anchor=anchor, lookback_days=lookback_days, limit=limit)
     index_path = os.path.join(out_root, "raw_index")
     partitions.write_partitions(index.withColumn("dt", F.lit(dt)), index_path)
     index = partitions.read_partition(spark, index_path, dt, index.schema).drop("dt_particao")
-
-    events = index.withColumn("ingested_at", F.lit(ingested_at))
+    events = land("eventos", index.withColumn("ingested_at", F.lit(ingested_at)))
 
     # event cards: index x event pages (this dt), one row per fight link
     ev_pages = latest_pages(pages, "event", dt).withColumnRenamed("page_key", "event_id")
@@ -77,9 +85,10 @@ def run_bronze(spark: SparkSession, pages: DataFrame, out_root: str, *, dt: str,
              .withColumn("bout", codes.bout_type_from_images("images")).drop("images")
              .join(index.select("event_id", F.col("status").alias("event_status")), "event_id", "left")
              .withColumn("page_key", keys.url_slug("fight_url")))
+    cards = loads.materialize(cards, "bronze-cards")
     fight_pages = latest_pages(pages, "fight", dt)
-    fights = html_rules.extract_fights(cards.join(fight_pages, "page_key", "inner")
-                                       .withColumn("ingested_at", F.lit(ingested_at)))
+    fights = land("lutas", html_rules.extract_fights(cards.join(fight_pages, "page_key", "inner")
+                                                     .withColumn("ingested_at", F.lit(ingested_at))))
     missing_fights = cards.join(fight_pages, "page_key", "left_anti").select(
         F.lit("fight").alias("kind"), "page_key", F.col("fight_url").alias("url"))
 
@@ -88,20 +97,16 @@ def run_bronze(spark: SparkSession, pages: DataFrame, out_root: str, *, dt: str,
                       F.col("_f.name").alias("name"), F.col("_f.profile_url").alias("profile_url"),
                       "event_id", F.col("bout_order").cast("int").alias("_bo"), "_pos")
               .where(F.col("fighter_id").isNotNull()))
-    fighter_index = dedupe.first_per_key(people, "fighter_id", ["event_id", "_bo", "_pos"]).select(
-        "fighter_id", "fighter_id_hash5", "name", "profile_url", F.lit(ingested_at).alias("ingested_at"))
+    fighter_index = land("lutadores_index", dedupe.first_per_key(people, "fighter_id", ["event_id", "_bo", "_pos"])
+                         .select("fighter_id", "fighter_id_hash5", "name", "profile_url",
+                                 F.lit(ingested_at).alias("ingested_at")))
 
     fighter_pages = latest_pages(pages, "fighter")  # any dt: newest landing wins
-    with_page = (fighter_index.withColumn("page_key", keys.url_slug("profile_url"))
-                 .join(fighter_pages, "page_key", "inner"))
-    fighters = html_rules.extract_fighters(with_page.select("html", "profile_url", F.lit(ingested_at).alias("ingested_at")))
-    missing_fighters = (fighter_index.withColumn("page_key", keys.url_slug("profile_url"))
-                        .join(fighter_pages, "page_key", "left_anti")
+    keyed = fighter_index.withColumn("page_key", keys.url_slug("profile_url"))
+    fighters = land("lutadores", html_rules.extract_fighters(
+        keyed.join(fighter_pages, "page_key", "inner").select("html", "profile_url", "ingested_at")))
+    missing_fighters = (keyed.join(fighter_pages, "page_key", "left_anti")
                         .select(F.lit("fighter").alias("kind"), "page_key", F.col("profile_url").alias("url")))
-
-    for name, df in (("eventos", events), ("lutas", fights), ("lutadores_index", fighter_index),
-                     ("lutadores", fighters)):
-        partitions.write_partitions(df.withColumn("dt", F.lit(dt)), os.path.join(out_root, "bronze", name))
     missing = missing_fights.unionByName(missing_fighters)
     return BronzeResult(index, events, fights, fighter_index, fighters, missing)
 
