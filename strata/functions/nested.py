@@ -29,15 +29,16 @@ def parse_object_array(text, element_type: str) -> Column:
 
 
 def natural_key_order(keys) -> Column:
-    """Sort map keys numeric-first by value, then text keys lexically."""
-    def cmp(a, b):
-        ia, ib = a.try_cast("int"), b.try_cast("int")
-        a_txt, b_txt = F.when(a.rlike("^[0-9]+$"), F.lit(0)).otherwise(F.lit(1)), \
-            F.when(b.rlike("^[0-9]+$"), F.lit(0)).otherwise(F.lit(1))
-        return (F.when(a_txt != b_txt, a_txt - b_txt)
-                 .when((a_txt == 0) & (ia != ib), F.when(ia < ib, F.lit(-1)).otherwise(F.lit(1)))
-                 .when(a < b, F.lit(-1)).when(a > b, F.lit(1)).otherwise(F.lit(0)))
-    return F.array_sort(_c(keys), cmp)
+    """Sort keys numeric-first by value, then text keys lexically.
+
+    Each key gets its sort key once (``transform``: is-text flag, number, text)
+    and the array is sorted by the default struct ordering; a comparator
+    lambda would re-evaluate the digit test on every comparison.
+    """
+    def tag(k):
+        num = F.when(k.rlike("^[0-9]+$"), k.try_cast("decimal(38,0)"))
+        return F.struct(num.isNull().alias("is_text"), num.alias("num"), k.alias("key"))
+    return F.transform(F.array_sort(F.transform(_c(keys), tag)), lambda x: x["key"])
 
 
 def round_keys(rounds_map, total_rounds_text) -> Column:
