@@ -67,3 +67,17 @@ def test_scale_conf_sizes_partitions():
     c = scale_conf(100 * 1024 ** 4, 8000)
     assert int(c["spark.sql.shuffle.partitions"]) * int(c["spark.sql.files.maxPartitionBytes"]) >= 100 * 1024 ** 4
     assert int(scale_conf(10 * 1024 ** 2, 8)["spark.sql.shuffle.partitions"]) == 24
+
+
+def test_python_workers_import_package_from_any_cwd(tmp_path):
+    """mapInPandas stages must work when the driver runs outside the repo."""
+    import subprocess
+    import sys
+    script = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "from strata.session import get_session\n"
+        "import __spark_entry__ as E\n"
+        "spark = get_session('local[2]', 2)\n"
+        "print('ROWS', E.queries()['page_table_extract'](spark, %r).count())\n" % (ROOT, SF_SMALL))
+    out = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, capture_output=True, text=True, timeout=600)
+    assert "ROWS 281" in out.stdout, out.stderr[-2000:]
