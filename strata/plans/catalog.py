@@ -50,7 +50,8 @@ def q_page_link_fact(spark, sf):
     pages = tbl(spark, sf, "pages").select("page_id", "url", "html")
     keyed = pages.withColumn("page_key", keys.id_from_url("url")).where(F.col("page_key").isNotNull())
     latest = dedupe.first_per_key(keyed, "page_key", ["page_id"])
-    dim = sk.assign_new_ids(latest.select("page_key"), None, "page_key", "page_sk")
+    # number from the key column alone: the pages (whole HTML) are shuffled once, by the dedupe
+    dim = sk.assign_new_ids(keyed.select("page_key").distinct(), None, "page_key", "page_sk")
     links = extract.page_links(latest, keep=("page_key",))
     fact = facts.attach_ids(links, [(dim, "page_key", ["page_sk"])])
     return fact.withColumn("page_hash5", keys.short_id("page_key"))
