@@ -111,8 +111,10 @@ def _landed(spark, sf) -> DataFrame:
 
 
 def q_latest_page(spark, sf):
-    latest = dedupe.first_per_key(_landed(spark, sf), "page_path", [F.col("page_id").desc()])
-    return latest.select("page_path", "page_id", extract.first_match("html", extract.TITLE_RE).alias("title"))
+    # extract before the dedupe so only small columns cross the shuffle, not whole pages
+    landed = _landed(spark, sf).select("page_path", "page_id",
+                                       extract.first_match("html", extract.TITLE_RE).alias("title"))
+    return dedupe.first_per_key(landed, "page_path", [F.col("page_id").desc()])
 
 
 def _index_users(spark, sf) -> DataFrame:
