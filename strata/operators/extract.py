@@ -42,10 +42,20 @@ def page_summary(pages: DataFrame, key: str = "page_id", html: str = "html") ->
     )
 
 
-def page_links(pages: DataFrame, keep=("page_id",), html: str = "html") -> DataFrame:
-    """One row per list link with its 1-based position (no shuffle)."""
-    links = F.arrays_zip(F.regexp_extract_all(F.col(html), F.lit(LINK_RE), 1).alias("href"),
-                         F.regexp_extract_all(F.col(html), F.lit(LINK_RE), 2).alias("text"))
-    return (pages.select(*keep, F.posexplode(links).alias("_p", "_l"))
+def link_array(html) -> Column:
+    """The page's list links as ``array<struct<href, text>>`` in page order."""
+    h = _c(html)
+    return F.arrays_zip(F.regexp_extract_all(h, F.lit(LINK_RE), 1).alias("href"),
+                        F.regexp_extract_all(h, F.lit(LINK_RE), 2).alias("text"))
+
+
+def explode_links(df: DataFrame, links: str, keep=("page_id",)) -> DataFrame:
+    """One row per link of an ``array<struct<href, text>>`` column, 1-based position."""
+    return (df.select(*keep, F.posexplode(links).alias("_p", "_l"))
             .select(*keep, (F.col("_p") + 1).cast("bigint").alias("link_pos"),
                     F.col("_l.href").alias("href"), F.col("_l.text").alias("link_text")))
+
+
+def page_links(pages: DataFrame, keep=("page_id",), html: str = "html") -> DataFrame:
+    """One row per list link with its 1-based position (no shuffle)."""
+    return explode_links(pages.select(*keep, link_array(html).alias("_links")), "_links", keep)

@@ -49,10 +49,12 @@ def q_page_link_fact(spark, sf):
     """Flagship slice: pages -> keys -> latest per key -> surrogate ids -> link fact."""
     pages = tbl(spark, sf, "pages").select("page_id", "url", "html")
     keyed = pages.withColumn("page_key", keys.id_from_url("url")).where(F.col("page_key").isNotNull())
-    latest = dedupe.first_per_key(keyed, "page_key", ["page_id"])
-    # number from the key column alone: the pages (whole HTML) are shuffled once, by the dedupe
+    # links are extracted before the dedupe, so the shuffle moves link lists, not whole pages;
+    # ids are numbered from the key column alone
+    latest = dedupe.first_per_key(keyed.select("page_id", "page_key", extract.link_array("html").alias("links")),
+                                  "page_key", ["page_id"])
     dim = sk.assign_new_ids(keyed.select("page_key").distinct(), None, "page_key", "page_sk")
-    links = extract.page_links(latest, keep=("page_key",))
+    links = extract.explode_links(latest, "links", keep=("page_key",))
     fact = facts.attach_ids(links, [(dim, "page_key", ["page_sk"])])
     return fact.withColumn("page_hash5", keys.short_id("page_key"))
 

@@ -12,9 +12,10 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
 NOTES = {
-    "page_link_fact": "Pages keyed by URL hash, one row per key (map-side `WindowGroupLimit`), ids from the "
-                      "numbered table written under the checkpoint folder, links exploded in the scan stage "
-                      "(no shuffle), ids attached by a join whose strategy Spark picks from the dimension's size.",
+    "page_link_fact": "Pages keyed by URL hash; the link list is extracted in the scan stage, so the dedupe "
+                      "shuffle (with a map-side `WindowGroupLimit`) moves link lists, not whole pages. Ids come "
+                      "from the distinct keys numbered through a table under the checkpoint folder and are "
+                      "attached by a join whose strategy Spark picks from the dimension's size.",
     "latest_per_key": "`WindowGroupLimit Partial` runs before the exchange: a key holding a third of the rows "
                       "ships one row per map task. `Final` after the exchange, then the window.",
     "first_non_null": "Partial aggregation before the exchange (`min_by` with a null-skipping ordering), final "
