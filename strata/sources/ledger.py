@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as _dt
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,3 +38,13 @@ def load_type_for(runs: DataFrame, dt: str | None = None) -> str:
     if row is None:
         raise RuntimeError(f"no completed pipeline run for dt={dt!r}; run the bronze job first")
     return row["tipo_carga"]
+
+
+def new_batch(dt: str | None = None) -> dict:
+    """Batch identity, fixed once on the driver and passed into jobs as literals.
+
+    ``dt`` defaults to today (UTC); ``run_id`` is 12 random hex digits;
+    ``started_at`` is the UTC start time.
+    """
+    now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    return {"dt": dt or now.strftime("%Y-%m-%d"), "run_id": uuid.uuid4().hex[:12], "started_at": now}

@@ -26,26 +26,30 @@ def _with_dt(schema: StructType, dt_col: str = "dt") -> StructType:
 
 
 def read_partition(spark: SparkSession, base: str, dt: str, schema: StructType,
-                   file_glob: str | None = None, out_col: str = "dt_particao") -> DataFrame:
+                   file_glob: str | None = None, out_col: str = "dt_particao",
+                   mode: str = "FAILFAST") -> DataFrame:
     """One partition, read by path so a missing partition raises PATH_NOT_FOUND.
 
     (A ``dt`` filter on the whole base would silently return zero rows.)
+    Blank lines are skipped; a malformed line fails the read (``FAILFAST``),
+    or pass ``mode="PERMISSIVE"`` to keep going with nulls.
     """
-    reader = spark.read.schema(schema).options(**TS_OPTIONS)
+    reader = spark.read.schema(schema).options(**TS_OPTIONS).option("mode", mode)
     if file_glob:
         reader = reader.option("pathGlobFilter", file_glob)
     return reader.json(os.path.join(base, f"dt={dt}")).withColumn(out_col, F.lit(dt))
 
 
 def read_all_partitions(spark: SparkSession, base: str, schema: StructType,
-                        file_glob: str | None = None, out_col: str = "dt_particao") -> DataFrame:
+                        file_glob: str | None = None, out_col: str = "dt_particao",
+                        mode: str = "FAILFAST") -> DataFrame:
     """Every partition with its ``dt`` as text (blank lines are skipped).
 
     Declaring ``dt`` as a string in the schema keeps partition discovery from
     turning it into a date. No partition at all raises, as an empty load would
     otherwise look like a successful one.
     """
-    reader = spark.read.schema(_with_dt(schema)).options(**TS_OPTIONS).option("basePath", base)
+    reader = spark.read.schema(_with_dt(schema)).options(**TS_OPTIONS).option("basePath", base).option("mode", mode)
     if file_glob:
         reader = reader.option("pathGlobFilter", file_glob)
     df = reader.json(os.path.join(base, "dt=*"))

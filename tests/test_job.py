@@ -155,3 +155,22 @@ def test_ledger_driven_silver_load(spark):
     assert runs.where("estagio = 'silver' AND tipo_carga = 'initial'").count() == 1
     with pytest.raises(ValueError, match="older than the last silver load"):
         silver.load(spark, root, store, path, dt="2024-06-01", anchor="2024-06-02", now=now, run_id="s2")
+
+
+def test_jsonl_blank_lines_skipped_bad_lines_fail(spark, tmp_path):
+    from strata.schemas import BRONZE_EVENTS
+    from strata.sources import partitions
+    part = tmp_path / "dt=2024-01-01"
+    part.mkdir()
+    (part / "eventos.jsonl").write_text('{"event_id": "e1", "name": "A"}\n\n{"event_id": "e2"}\n', encoding="utf-8")
+    got = partitions.read_partition(spark, str(tmp_path), "2024-01-01", BRONZE_EVENTS)
+    assert sorted(r["event_id"] for r in got.collect()) == ["e1", "e2"]
+    (part / "eventos.jsonl").write_text('{"event_id": "e1"}\n{not json\n', encoding="utf-8")
+    with pytest.raises(Exception, match="(?i)malformed|FAILFAST|parse"):
+        partitions.read_partition(spark, str(tmp_path), "2024-01-01", BRONZE_EVENTS).collect()
+
+
+def test_new_batch_identity():
+    b = ledger.new_batch()
+    assert len(b["run_id"]) == 12 and int(b["run_id"], 16) >= 0 and len(b["dt"]) == 10
+    assert ledger.new_batch("2024-06-02")["dt"] == "2024-06-02"
