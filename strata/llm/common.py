@@ -36,3 +36,27 @@ def free_name(df: DataFrame, wish: str) -> str:
     while wish.lower() in have:
         wish += "_"
     return wish
+
+
+def whole_groups(batches, key: str):
+    """Arrow batches sorted by ``key``, re-cut so that no run of equal keys spans two tables."""
+    import pyarrow as pa
+
+    held = None
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        table_ = pa.Table.from_batches([batch])
+        if held is not None:
+            table_ = pa.concat_tables([held, table_])
+        keys = table_.column(key).to_numpy()
+        # first row of the last run: it may go on in the next batch
+        cut = len(keys) - 1
+        last = keys[cut]
+        while cut > 0 and keys[cut - 1] == last:
+            cut -= 1
+        if cut:
+            yield table_.slice(0, cut).combine_chunks()
+        held = table_.slice(cut)
+    if held is not None:
+        yield held.combine_chunks()

@@ -7,11 +7,25 @@ DuckDB SQL for those that SQL expresses.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strata.llm import quality
+from strata.llm import neardup, pii, quality
 from strata.llm.common import table
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("pii", lambda s: s["kind"].isin(*pii.BASE))
+    count = lambda kind: F.size(F.filter("pii", lambda s: s["kind"] == kind)).cast("long")
+    return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in pii.BASE],
+                        F.sha2(pii.joined(base), 256).alias("base_sha256"),
+                        pii.joined(F.col("pii")).alias("spans"))
+
+
+def op3_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.link(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.classify(table(spark, sf_dir, "documents").select("doc_id", "text"),
                               table(spark, sf_dir, "labels"))
@@ -19,6 +33,8 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_pii": op2_pii,
+    "op3_minhash_neardup": op3_minhash_neardup,
     "op4_quality_classifier": op4_quality_classifier,
 }
 
