@@ -8,9 +8,11 @@ each result to the shared folder, from which the next stage reads it.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strata.llm import quality
+from strata.llm import neardup, packing, pii, quality
 from strata.llm.common import table, written
+from strata.llm.queries import tokenizer
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,11 +21,29 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.classify(docs, table(spark, sf_dir, "labels")).where("predicted = 1").select(*columns)
 
 
+def neardup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays."""
+    return neardup.deduplicate(docs)
+
+
+def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by its kind in brackets; n_chars follows the new text."""
+    return pii.redact(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and their places in sequences."""
+    return packing.pack(docs, tokenizer())
+
+
 STAGES = [
     ("quality_classifier", quality_stage),
+    ("minhash_neardup", neardup_stage),
+    ("pii", pii_stage),
+    ("packing", packing_stage),
 ]
 
-# The stages train a classifier and hash word shingles in Python: no SQL expresses them.
+# A trained classifier, similarity components and a tokenizer: no SQL expresses them.
 ORACLE_SQL = None
 
 

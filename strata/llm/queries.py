@@ -9,10 +9,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import neardup, pii, quality
+from strata.llm import neardup, packing, pii, quality, tokenfile, triebpe
 from strata.llm.common import table
 
 
+def tokenizer() -> str:
+    """The tokenizer file of the queries (a parameter of the operators)."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfile.encode_and_read(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer())
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("pii", lambda s: s["kind"].isin(*pii.BASE))
@@ -32,10 +43,21 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+def op7_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return triebpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer())
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer())
+
+
 QUERIES = {
+    "op1_token_files": op1_token_files,
     "op2_pii": op2_pii,
     "op3_minhash_neardup": op3_minhash_neardup,
     "op4_quality_classifier": op4_quality_classifier,
+    "op7_trie_bpe": op7_trie_bpe,
+    "op10_packing": op10_packing,
 }
 
 ORACLES: dict = {}
