@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import neardup, packing, pii, quality, tokenfile, triebpe
+from strata.llm import fingerprint, neardup, packing, pii, quality, sharding, tokenfile, triebpe, warc
 from strata.llm.common import table
 
 
@@ -43,10 +43,22 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+def op5_prefix_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.neighbours(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op6_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.write_and_read(table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("complete")
+
+
 def op7_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return triebpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer())
 
 
+def op9_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer())
 
@@ -56,8 +68,13 @@ QUERIES = {
     "op2_pii": op2_pii,
     "op3_minhash_neardup": op3_minhash_neardup,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_prefix_fingerprints": op5_prefix_fingerprints,
+    "op6_warc_segments": op6_warc_segments,
     "op7_trie_bpe": op7_trie_bpe,
+    "op9_extendible_sharding": op9_extendible_sharding,
     "op10_packing": op10_packing,
 }
 
-ORACLES: dict = {}
+ORACLES: dict = {
+    "op9_extendible_sharding": sharding.ORACLE,
+}
