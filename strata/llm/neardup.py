@@ -9,8 +9,9 @@ similarity of their full sets is at least ``THRESHOLD`` percent.
 2. *Trees*: ``TREES`` independent trees branch the representatives by minwise
    tokens. A node of at most ``SMALL`` members is compared exhaustively on the
    sketches; a larger one branches on ``BRANCH`` further coordinates that its
-   path selects, down to ``DEPTH``, where its members count as one candidate
-   group. Two texts linked at 85 % miss each other in a tree's first branch
+   path selects. A child that keeps at least ``DENSE`` of a large node's
+   members will not split much further, so its members count as one candidate
+   group, as do those of a large node at ``DEPTH``. Two texts linked at 85 % miss each other in a tree's first branch
    with probability 0.15, so in all eight with 3 in 10 million; the estimate
    from 128 tokens falls below ``LIKELY`` with about 1 in 50,000.
 3. *Candidate groups* are the connected components of the pairs found likely.
@@ -38,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import prepare, whole_groups, written
-from strata.llm.components import components
+from strata.llm.components import components, roots
 
 SHINGLE = 5
 THRESHOLD = 85          # percent
@@ -47,6 +48,7 @@ TREES = 8
 SMALL = 64
 BRANCH = 2
 DEPTH = 6
+DENSE = 0.6
 LIKELY = 0.72
 BLOCK = 256
 
@@ -128,57 +130,39 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 alike = (tokens[some] == tokens[some + ahead]).mean(axis=1) >= LIKELY
                 pairs.append(np.stack([some[alike], some[alike] + ahead]))
         a, b = np.concatenate(pairs, axis=1) if pairs else np.empty((2, 0), np.int64)
-        root = _roots(n, a, b)
+        root = roots(n, a, b)
         linked = np.flatnonzero(root != np.arange(n))
         yield pa.RecordBatch.from_arrays(
             [pa.chunked_array(ids).take(pa.array(root[linked])).combine_chunks(),
              pa.chunked_array(ids).take(pa.array(linked)).combine_chunks()], names=["a", "b"])
 
 
-def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """For 0..n-1 the smallest number reachable over the pairs (a, b)."""
-    root = np.arange(n)
-    while len(a):
-        low = np.minimum(root[a], root[b])
-        np.minimum.at(root, a, low)
-        np.minimum.at(root, b, low)
-        root = root[root]
-        left = root[a] != root[b]
-        if not left.any():
-            break
-        a, b = a[left], b[left]
-    while True:
-        up = root[root]
-        if (up == root).all():
-            return root
-        root = up
-
-
 def likely_pairs(reps: DataFrame) -> DataFrame:
     """(a, b) spanning the pairs of ``reps`` (rep, tokens) that share a node and look alike there."""
     coordinates = np.random.default_rng(_SEED + 1).permutation(COORDS)[:TREES].tolist()
-    first = reps.select("rep", F.explode(F.array(*[
-        F.xxhash64(F.lit(t), F.element_at("tokens", c + 1)) for t, c in enumerate(coordinates)])).alias("path"))
     kind = dict(reps.dtypes)["rep"]
     found = []
-    rows = first
+    rows = reps.select("rep", F.explode(F.array(*[
+        F.xxhash64(F.lit(t), F.element_at("tokens", c + 1)) for t, c in enumerate(coordinates)])).alias("path"),
+        F.lit(0).cast("long").alias("above"))
     for depth in range(1, DEPTH + 1):
         sized = rows.groupBy("path").agg(F.count("*").alias("size"), F.min("rep").alias("least")).where("size > 1")
-        # members of nodes with company; their tokens follow by a join on the id
-        shared = written(rows.join(sized, "path"), f"nodes-{depth}")
-        small = (shared.where(F.col("size") <= SMALL).select("path", "rep").join(reps, "rep")
-                 .select("path", "rep", "tokens"))
-        found.append(small.repartition("path").sortWithinPartitions("path", "rep")
+        shared = rows.join(sized, "path")
+        if depth == 1:
+            shared = shared.join(reps, "rep")  # only members of nodes with company carry their tokens
+        shared = written(shared, f"nodes-{depth}")
+        found.append(shared.where(F.col("size") <= SMALL).select("path", "rep", "tokens")
+                     .repartition("path").sortWithinPartitions("path", "rep")
                      .mapInArrow(_compared, f"a {kind}, b {kind}"))
         large = shared.where(F.col("size") > SMALL)
-        if depth == DEPTH:
-            found.append(large.select(F.col("least").alias("a"), F.col("rep").alias("b")).where("a <> b"))
-        elif large.isEmpty():
+        dense = F.lit(True) if depth == DEPTH else F.col("size") >= DENSE * F.col("above")
+        found.append(large.where((F.col("above") > 0) & dense).select(
+            F.col("least").alias("a"), F.col("rep").alias("b")).where("a <> b"))
+        rest = large.where(~((F.col("above") > 0) & dense))
+        if depth == DEPTH or rest.isEmpty():
             break
-        else:
-            rows = large.select("path", "rep").join(reps, "rep").select(
-                "rep", F.explode(F.array(*[_child(depth, j) for j in range(BRANCH)])).alias("path"))
-            rows = rows.distinct()
+        rows = rest.select("rep", "tokens", F.col("size").alias("above"), F.explode(
+            F.array_distinct(F.array(*[_child(depth, j) for j in range(BRANCH)]))).alias("path"))
     out = found[0]
     for more in found[1:]:
         out = out.unionAll(more)
@@ -280,12 +264,16 @@ def link(docs: DataFrame) -> DataFrame:
     pairs = written(likely_pairs(reps.select("rep", "tokens")), "likely")
     groups = components(pairs, "a", "b").select(F.col("node").alias("rep"), F.col("component").alias("grp"))
     links = written(confirmed_links(docs, written(groups, "groups")), "links")
-    # equal sets are linked through their representative
-    own = named.join(reps.select("digest", "rep"), "digest").select(
+    of_copies = named.select("doc_id", "digest").join(reps.select("digest", "rep"), "digest").select("doc_id", "rep")
+    # an id on rows of different texts joins their components
+    several = of_copies.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a <> b")
+    own = of_copies.join(several.select("doc_id"), "doc_id", "left_semi").select(
         F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b")
     parts = components(links.unionAll(own), "a", "b")
-    return (sketches.select("doc_id", "n_shingles")
-            .join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    placed = (of_copies.join(parts.withColumnRenamed("node", "rep"), "rep", "left")
+              .select("doc_id", F.coalesce("component", "rep").alias("component"))
+              .groupBy("doc_id").agg(F.min("component").alias("component")))
+    return (sketches.select("doc_id", "n_shingles").join(placed, "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True))))
 
