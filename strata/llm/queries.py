@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import fingerprint, neardup, packing, pii, quality, sharding, tokenfile, triebpe, warc
+from strata.llm import fingerprint, neardup, packing, pii, pq, quality, sharding, tokenfile, triebpe, warc
 from strata.llm.common import table
 
 
@@ -55,6 +55,10 @@ def op7_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return triebpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer())
 
 
+def op8_pq_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pq.link(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op9_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -71,6 +75,7 @@ QUERIES = {
     "op5_prefix_fingerprints": op5_prefix_fingerprints,
     "op6_warc_segments": op6_warc_segments,
     "op7_trie_bpe": op7_trie_bpe,
+    "op8_pq_neardup": op8_pq_neardup,
     "op9_extendible_sharding": op9_extendible_sharding,
     "op10_packing": op10_packing,
 }
