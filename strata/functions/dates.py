@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from strata.functions.text import text_value, ustrip
 
 # Accepted input layouts, tried in this order after the two
-# strict shapes (dd/MM/yyyy and yyyy-MM-dd) have been ruled out.
-FREE_LAYOUTS = ["MMM d, yyyy", "MMMM d, yyyy"]
+# strict shapes (dd/MM/yyyy and yyyy-MM-dd) have been ruled out: month first, then day first.
+FREE_LAYOUTS = ["MMM d, yyyy", "MMMM d, yyyy", "MMM d yyyy", "MMMM d yyyy", "M/d/yyyy", "M-d-yyyy", "yyyy/M/d",
+                "d MMM yyyy", "d MMMM yyyy", "d/M/yyyy", "d-M-yyyy", "d.M.yyyy"]
 OUTPUT_LAYOUT = "dd/MM/yyyy"
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from strata.functions.text import ustrip
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -18,14 +20,19 @@ def to_json_text(x) -> Column:
 def parse_object_array(text, element_type: str) -> Column:
     """JSON text -> array of objects.
 
-    Blank, malformed or non-array text gives an empty array; array items that
-    are not objects are dropped; the remaining items are parsed one by one so a
-    single bad item does not null the whole list.
+    Blank, malformed (strict JSON: no single quotes, nothing after the value) or
+    non-array text gives an empty array; array items that are not objects are
+    dropped, strings that hold one included. The remaining items are converted
+    one by one, so a field of another type is null and not the whole list.
+    An object that repeats a key counts as malformed.
     """
-    raw = F.from_json(F.trim(_c(text)), "array<string>")
-    objects = F.filter(raw, lambda e: F.ltrim(e).startswith("{"))
-    parsed = F.transform(objects, lambda e: F.from_json(e, element_type))
-    return F.coalesce(F.filter(parsed, lambda e: e.isNotNull()), F.array().cast(f"array<{element_type}>"))
+    # the parser ignores what follows a value: inside an array that has to end with a known item, nothing can follow
+    framed = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), ustrip(_c(text)), F.lit(', "end"]'))), "$", "array<variant>")
+    alone = (F.size(framed) == 2) & (F.try_variant_get(F.try_element_at(framed, F.lit(2)), "$", "string") == "end")
+    items = F.when(alone, F.try_variant_get(F.try_element_at(framed, F.lit(1)), "$", "array<variant>"))
+    objects = F.filter(items, lambda e: F.schema_of_variant(e).startswith("OBJECT"))
+    parsed = F.transform(objects, lambda e: F.from_json(F.to_json(e), element_type))
+    return F.coalesce(parsed, F.array().cast(f"array<{element_type}>"))
 
 
 def natural_key_order(keys) -> Column:

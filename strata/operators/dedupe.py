@@ -24,9 +24,11 @@ def content_hash(df: DataFrame) -> Column:
     """Deterministic last tie-breaker: a hash of the whole row's content.
 
     Read order is not stable across re-reads or task retries; a content hash
-    is, so a retried task after an executor loss keeps the same row.
+    is, so a retried task after an executor loss keeps the same row. (Columns
+    with maps have no hash of their own; they are hashed as JSON text.)
     """
-    return F.xxhash64(F.to_json(F.struct(*[F.col(c) for c in df.columns])))
+    return F.xxhash64(*[F.to_json(F.struct(f.name)) if "map<" in f.dataType.simpleString() else F.col(f.name)
+                        for f in df.schema.fields])
 
 
 def first_per_key(df: DataFrame, key, order_by: Sequence) -> DataFrame:
@@ -38,6 +40,12 @@ def first_per_key(df: DataFrame, key, order_by: Sequence) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
+def first_keys(df: DataFrame, key, order_by: Sequence, n: int = 0) -> DataFrame:
+    """First row per key, in order of first appearance; ``n`` > 0: only the first ``n`` keys."""
+    firsts = first_per_key(df, key, order_by)
+    return firsts.orderBy(*_cols(order_by)).limit(n) if n else firsts
+
+
 def latest_per_key(df: DataFrame, key, ts: str | Column, tiebreak: Sequence = ()) -> DataFrame:
     """Latest version per key: timestamp descending with unparseable/missing last.
 

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.codes import BONUS_SEED, bonus_label
+from strata.functions.text import ustrip
 from strata.operators.keys import max_id, number_rows
 
 
@@ -25,10 +26,10 @@ def _ts(now) -> Column:
 
 
 def changed(new: Column, old: Column, trim: bool) -> Column:
-    """New value is non-empty and differs from the old one (or '')."""
+    """New value is non-empty and differs from the old one (or ''); ``trim``: white space around it aside."""
     old_v = F.coalesce(old, F.lit(""))
     if trim:
-        differs = F.trim(old_v) != F.trim(new)
+        differs = ustrip(old_v) != ustrip(new)
     else:
         differs = old_v != new
     return F.coalesce(new.isNotNull() & (new != "") & differs, F.lit(False))

@@ -3,9 +3,7 @@
 Regular attributes (title, heading, list links) are pulled with native
 ``regexp_extract[_all]``: JVM-side, inside whole-stage codegen, and
 checkable with SQL. Structural rules (tables, label/value blocks, person
-sections) need a DOM walk; those run in ``mapInPandas`` with the stdlib
-HTML parser (see ``strata.operators.html_rules``), one Arrow batch of pages
-at a time, so pages are parsed in parallel across the cluster.
+sections) are column expressions too, in ``strata.operators.page_rules``.
 """
 
 from __future__ import annotations

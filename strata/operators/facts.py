@@ -12,6 +12,10 @@ from strata.functions.nested import round_keys
 from strata.operators.dedupe import first_per_key
 
 
+# Partitions' worth of rows that a key without a match is spread to.
+SPREAD = 4096
+
+
 def attach_ids(df: DataFrame, lookups: Sequence[tuple[DataFrame, str, Sequence[str]]]) -> DataFrame:
     """Left lookups natural key -> surrogate id(s); ids are moved to the front.
 
@@ -60,8 +64,10 @@ def nested_fact(parents: DataFrame, parent_key: str, parent_dim: DataFrame, pare
     p = p.where(F.coalesce(F.size(members_col), F.lit(0)) > 0)
     m = p.select(*parent_ids, *[F.col(c) for c, _ in parent_cols], F.col(total_col).alias("_total"),
                  F.explode(members_col).alias("_m"))
-    m = m.withColumn("_mk", F.col(f"_m.{member_key}"))
-    m = m.join(member_dim.select(F.col(member_key).alias("_mk"), member_id), "_mk", "left")
+    # members without a key match nothing: a second join column spreads them over all partitions
+    salt = F.when(F.col("_mk").isNull(), F.pmod(F.xxhash64(*parent_ids, *[F.col(c) for c, _ in parent_cols]), F.lit(SPREAD)))
+    m = m.withColumn("_mk", F.col(f"_m.{member_key}")).withColumn("_salt", F.coalesce(salt.cast("int"), F.lit(0)))
+    m = m.join(member_dim.select(F.col(member_key).alias("_mk"), F.lit(0).alias("_salt"), member_id), ["_mk", "_salt"], "left")
     r = m.withColumn("_rk", F.explode(round_keys(F.col(f"_m.{rounds_field}"), F.col("_total"))))
     r = r.withColumn("_s", F.when(F.col("_rk").isNotNull(),
                                   F.try_element_at(F.col(f"_m.{rounds_field}"), F.col("_rk"))))

@@ -2,9 +2,10 @@
 
 An incremental load replaces a *scope*: every event in the batch plus every
 stored event that was in scope (upcoming, or dated within the window) but is
-missing from the batch ("stale"). Deleting is a ``left_anti`` join per table;
-rows with a null event id never match and therefore survive, exactly as a
-SQL ``DELETE ... WHERE id IN (...)`` leaves them.
+missing from the batch ("stale"). Deleting is a ``left_anti`` join of the
+stored parts that hold such ids; rows with a null event id are in a part of
+their own and survive, exactly as a SQL ``DELETE ... WHERE id IN (...)``
+leaves them.
 """
 
 from __future__ import annotations
@@ -53,33 +54,55 @@ def stale_ids(scope: DataFrame, current: DataFrame, id_col: str) -> DataFrame:
     return scope.join(current, id_col, "left_anti")
 
 
-def incremental_merge(stored: Mapping[str, DataFrame], batch: Mapping[str, DataFrame], *,
-                      anchor: str, days: int = 30, event_tables=("eventos", "lutas", "historico_lutas"),
-                      person_table: str = "lutadores", event_id: str = "id_evento",
-                      person_id: str = "id_lutador", status_col: str = "status",
-                      date_col: str = "data_evento") -> dict[str, DataFrame]:
-    """Final state of every table after replacing the batch's scope.
+# The event-keyed tables, the person table, and their ids.
+EVENT_TABLES = ("eventos", "lutas", "historico_lutas")
+PERSON_TABLE = "lutadores"
+EVENT_ID, PERSON_ID = "id_evento", "id_lutador"
+TABLE_IDS = {**dict.fromkeys(EVENT_TABLES, EVENT_ID), PERSON_TABLE: PERSON_ID}
 
-    ``delete = batch ids U stale ids``; event-keyed tables lose those ids,
-    the person table loses the batch's person ids; the batch is appended.
+
+def deleted_ids(stored_events: DataFrame, batch_events: DataFrame, *, anchor: str, days: int,
+                status_col: str = "status", date_col: str = "data_evento") -> DataFrame:
+    """Event ids whose stored rows go: the batch's and the stale ones of the scope."""
+    current = distinct_ids(batch_events, EVENT_ID)
+    scope = scope_ids(stored_events, EVENT_ID, status_col, date_col, anchor, days)
+    return current.union(stale_ids(scope, current, EVENT_ID)).distinct()
+
+
+def stage_merge(store, batch: Mapping[str, DataFrame], *, anchor: str, days: int = 30) -> tuple[dict, dict]:
+    """Replace the batch's scope in the stored tables; returns (versions to commit, parts written), by table.
+
+    Event-keyed tables lose the deleted event ids, the person table the batch's
+    person ids; the batch is added. Only parts that hold such ids are read and
+    written again, all others stay as they are; rows without an id are never
+    deleted, so theirs is only added to. The part numbers on the driver are as
+    many as the scope has id ranges.
     """
-    current = distinct_ids(batch[event_tables[0]], event_id)
-    scope = scope_ids(stored[event_tables[0]], event_id, status_col, date_col, anchor, days)
-    delete = materialize(current.union(stale_ids(scope, current, event_id)).distinct(), "delete-ids")
-    out = {}
-    for t in event_tables:
-        kept = stored[t].join(delete, event_id, "left_anti").select(*stored[t].columns)
-        out[t] = kept.unionByName(batch[t])
-    people = distinct_ids(batch[person_table], person_id)
-    kept = stored[person_table].join(people, person_id, "left_anti").select(*stored[person_table].columns)
-    out[person_table] = kept.unionByName(batch[person_table])
-    return out
+    deleted = materialize(deleted_ids(store.read("eventos", batch["eventos"].schema), batch["eventos"],
+                                      anchor=anchor, days=days), "delete-ids")
+    people = materialize(distinct_ids(batch[PERSON_TABLE], PERSON_ID), "delete-people")
+    gone = {**dict.fromkeys(EVENT_TABLES, deleted), PERSON_TABLE: people}
+    frames, untouched = {}, {}
+    numbers: dict = {}
+    for table, id_col in TABLE_IDS.items():
+        if id_col not in numbers:
+            numbers[id_col] = {r["p"] for r in gone[table].select(store.part_of(id_col).alias("p")).distinct().collect()}
+        parts = store.parts(table)
+        touched = [path for part, path in parts if part in numbers[id_col] or part == store.SCHEMA_ONLY]
+        untouched[table] = [(part, path) for part, path in parts if part not in numbers[id_col] and part != store.SCHEMA_ONLY]
+        frame = batch[table]
+        if touched:
+            stored = store.spark.read.schema(frame.schema).parquet(*touched)
+            frame = stored.join(gone[table], id_col, "left_anti").select(*frame.columns).unionByName(frame)
+        frames[table] = frame
+    written = store.stage_all(frames, TABLE_IDS)
+    return {t: untouched[t] + written[t] for t in frames}, written
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it back.
 
-    Used for the delete-id set, which three anti-joins read: it is computed
+    Used for the delete-id sets, which several joins read: each is computed
     once, and a retried task sees exactly the same set.
     """
     from strata.session import workspace_path

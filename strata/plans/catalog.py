@@ -1,8 +1,9 @@
 """Registered queries: each operator of the engine run over the driver tables.
 
-Every function takes ``(spark, sf_dir)`` and returns a lazy DataFrame over
-whole tables (no id subsets, no row caps; a ``limit`` appears only where the
-limit is the operator). Null and malformed cases that the tables do not
+Every function takes ``(spark, sf_dir)`` and returns a DataFrame over whole
+tables (no id subsets, no row caps; a ``limit`` appears only where the limit
+is the operator). Operators that write intermediate tables (numbering, loads,
+landed partitions) run those jobs when the query is built; the rest is lazy. Null and malformed cases that the tables do not
 contain are derived from existing columns with ``CASE``-style expressions,
 identically in the SQL oracle (``strata.plans.oracles``).
 """
@@ -17,8 +18,7 @@ from pyspark.sql.types import (DoubleType, LongType, StringType, StructField, St
                                TimestampNTZType)
 
 from strata.functions import codes, dates, keys, nested, text, units
-from strata.operators import dedupe, dims, extract, facts, loads, quality
-from strata.operators.parallel import spread
+from strata.operators import dedupe, dims, extract, facts, loads, page_rules, quality
 from strata.operators import keys as sk
 from strata.session import apply_runtime_conf, workspace_path
 from strata.sources import ledger, partitions, tables
@@ -69,18 +69,15 @@ def q_page_links(spark, sf):
 
 
 def q_page_table_extract(spark, sf):
-    from strata.operators import html_rules
-    return html_rules.extract_list_items(tbl(spark, sf, "pages"), container="nav")
+    return page_rules.extract_list_items(tbl(spark, sf, "pages"), container="nav")
 
 
 def q_fight_page_extract(spark, sf):
-    from strata.operators import html_rules
-    return html_rules.extract_paragraphs(tbl(spark, sf, "pages"), container="article")
+    return page_rules.extract_paragraphs(tbl(spark, sf, "pages"), container="article")
 
 
 def q_profile_page_extract(spark, sf):
-    from strata.operators import html_rules
-    return html_rules.extract_page_document(tbl(spark, sf, "pages"))
+    return page_rules.extract_page_document(tbl(spark, sf, "pages"))
 
 
 def _label_items(customer: DataFrame) -> DataFrame:
@@ -100,7 +97,7 @@ def _label_items(customer: DataFrame) -> DataFrame:
 def q_label_value_pivot(spark, sf):
     """``Label: value`` items -> columns, last occurrence wins, unknown labels ignored."""
     from strata.operators.pivot import pivot_label_items
-    items = _label_items(spread(tbl(spark, sf, "customer")))
+    items = _label_items(tbl(spark, sf, "customer"))
     return pivot_label_items(items, "items", {"NAME": "name", "SEGMENT": "segment", "NATION": "nation"},
                              keep=["c_custkey"])
 
@@ -130,9 +127,42 @@ def q_page_join(spark, sf):
 
 
 def q_fetch_frontier(spark, sf):
-    idx = _index_users(spark, sf)
-    landed = tbl(spark, sf, "pages").select("page_id")
-    return idx.join(landed, "page_id", "left_anti")
+    """All pages are wanted; those with a query string in their address have not landed."""
+    from strata.plans import bronze
+    pages = tbl(spark, sf, "pages").select(F.col("page_id").cast("string").alias("page_key"), "url")
+    landed = pages.where(~F.col("url").contains("?")).select("page_key", F.lit("fight").alias("kind"), F.lit(ONE_DAY).alias("dt"))
+    return bronze.fetch_frontier(pages, landed, "fight", "page_key", dt=ONE_DAY)
+
+
+def q_bronze_cards(spark, sf):
+    """Every page is an event of the completed list, those with a query string also of the upcoming one; cards are list items."""
+    from strata.plans import bronze
+    pages = tbl(spark, sf, "pages")
+    listed = pages.select(F.col("page_id").cast("string").alias("event_id"), "url")
+    index = listed.select("event_id", F.when(F.col("url").startswith("https"), "completed").alias("status")).unionByName(
+        listed.where(F.col("url").contains("?")).select("event_id", F.lit("upcoming").alias("status")))
+    items = page_rules.extract_list_items(pages).withColumn("event_id", F.col("page_id").cast("string")).drop("page_id")
+    return bronze.card_rows(index, items).select("event_id", "event_status", "item_pos", "href")
+
+
+def q_fighter_candidates(spark, sf):
+    """Customers as profiles, the people of orders as those named in fights."""
+    from strata.plans import silver
+    c = tbl(spark, sf, "customer")
+    profiles = c.select(F.col("c_custkey").cast("string").alias("fighter_id"),
+                        F.when(F.col("c_acctbal") > 0, F.col("c_name")).alias("nome"),
+                        F.when(F.col("c_mktsegment") != "BUILDING", F.concat(F.lit("http://p/"), F.col("c_custkey").cast("string")))
+                        .alias("url_perfil"))
+    o = tbl(spark, sf, "orders")
+    who = F.col("o_custkey").cast("string")
+    person = lambda name, url: F.struct(who.alias("fighter_id"), name.alias("name"), url.alias("profile_url"))
+    fights = o.select(F.col("o_orderkey").cast("string").alias("fight_id"), F.array(
+        person(F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("F"), F.col("o_orderkey").cast("string"))),
+               F.concat(F.lit("http://o/"), F.col("o_orderkey").cast("string"))),
+        person(F.lit("second"), F.lit("http://second")),
+        F.struct(F.lit("").alias("fighter_id"), F.lit("nobody").alias("name"), F.lit(None).cast("string").alias("profile_url")),
+    ).alias("fighters"))
+    return silver.fighter_candidates(profiles, fights)
 
 
 # --------------------------------------------------------------------------
@@ -187,16 +217,23 @@ def q_schema_evolve(spark, sf):
     return tables.evolve_union(old, new)
 
 
+# The driver's tables.
+ALL_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+              "pages", "benchmark", "labels", "conversations")
+
+
 def q_stage_counts(spark, sf):
-    """Row counts per stage, observed during the writes themselves (no second pass)."""
+    """Row counts per stage, observed during the writes themselves, from the audit table they are appended to."""
     pages = tbl(spark, sf, "pages")
     keyed = pages.withColumn("page_key", keys.id_from_url("url")).where(F.col("page_key").isNotNull())
-    links = extract.page_links(keyed, keep=("page_key",))
-    m1 = tables.observed_write(keyed.select("page_key", "url"), "keyed", workspace_path(spark, "stage-keyed"))
-    m2 = tables.observed_write(links, "links", workspace_path(spark, "stage-links"))
-    m0 = tables.observed_write(pages.select("page_id"), "pages", workspace_path(spark, "stage-pages"))
-    rows = [("pages", m0["rows"]), ("pages_keyed", m1["rows"]), ("links", m2["rows"])]
-    return spark.createDataFrame(rows, "stage string, n_rows bigint")
+    stages = {name: tbl(spark, sf, name) for name in ALL_TABLES}
+    stages = {name: df.select(df.columns[0]) for name, df in stages.items()}
+    stages["pages_keyed"] = keyed.select("page_key", "url")
+    stages["links"] = extract.page_links(keyed, keep=("page_key",))
+    counts = {name: tables.observed_write(df, name, workspace_path(spark, f"stage-{name}"))["rows"] for name, df in stages.items()}
+    audit = workspace_path(spark, "audit")
+    ledger.record_audit(spark, audit, "run", ONE_DAY, counts)
+    return spark.read.schema(ledger.AUDIT_SCHEMA).parquet(audit).select("stage", "n_rows")
 
 
 # --------------------------------------------------------------------------
@@ -327,6 +364,7 @@ def _part_dims(spark, sf):
     cand = p.where(F.col("p_type") != "SMALL").select(
         F.col("p_partkey").alias("part_key"),
         F.when(size > 45, F.upper("p_name")).when(size < 5, F.lit(None))
+          .when(size.between(13, 15), F.concat(F.col("p_name"), F.lit("\u00a0")))
          .when(size.between(10, 12), F.concat(F.lit("  "), F.col("p_name"), F.lit(" ")))
          .otherwise(F.col("p_name")).alias("name"),
         F.when(size.between(20, 22), F.concat(F.col("p_brand"), F.lit("/x"))).when(size == 30, F.lit(""))
@@ -381,7 +419,7 @@ STAT_FIELDS = ["qty", "price"]
 
 
 def _line_maps(spark, sf) -> DataFrame:
-    li = spread(tbl(spark, sf, "lineitem"))
+    li = tbl(spark, sf, "lineitem")
     return facts.collect_nested(li, ["l_orderkey"], "l_linenumber",
                                 F.struct(F.col("l_quantity").alias("qty"), F.col("l_extendedprice").alias("price")),
                                 LINE_ORDER[1:], "rounds")
@@ -398,7 +436,7 @@ def q_nested_collect(spark, sf):
 
 
 def q_nested_fact(spark, sf):
-    o = spread(tbl(spark, sf, "orders"))
+    o = tbl(spark, sf, "orders")
     maps = _line_maps(spark, sf).withColumnRenamed("l_orderkey", "o_orderkey")
     empty = F.create_map().cast("map<string,struct<qty:double,price:double>>")
     docs = o.join(maps, "o_orderkey", "left").select(
@@ -442,7 +480,7 @@ def q_map_lookup(spark, sf):
 
 
 def q_natural_sort(spark, sf):
-    li = spread(tbl(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag"))
+    li = tbl(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
     ks = F.array(F.col("l_linenumber").cast("string"), (F.col("l_linenumber") * 5).cast("string"),
                  F.concat(F.lit("x"), F.col("l_returnflag")), (F.col("l_linenumber") + 7).cast("string"))
     out = li.select("l_orderkey", "l_linenumber", F.posexplode(nested.natural_key_order(ks)).alias("p", "round_key"))
@@ -456,7 +494,12 @@ def q_natural_sort(spark, sf):
 
 def _json_texts(ev: DataFrame) -> Column:
     t = F.col("event_type")
-    return (F.when(t == "error", F.lit("nope")).when(t == "view", F.col("props"))
+    v = F.col("value")
+    return (F.when((t == "error") & (v > 100), F.concat(F.lit("["), F.col("props"), F.lit("] x")))
+            .when((t == "error") & (v > 50), F.lit("[{'k':1}]"))
+            .when((t == "view") & (v > 100), F.concat(F.lit("\u00a0["), F.col("props"), F.lit("]\u00a0")))
+            .when((t == "view") & (v > 50), F.concat(F.lit('["{x", "{\\"k\\":9}", '), F.col("props"), F.lit("]")))
+            .when(t == "error", F.lit("nope")).when(t == "view", F.col("props"))
             .when(t == "click", F.concat(F.lit("["), F.col("props"), F.lit(', 5, "x"]')))
             .when(t == "signup", F.lit("  "))
             .otherwise(F.concat(F.lit("["), F.col("props"), F.lit(","), F.col("props"), F.lit("]"))))
@@ -495,7 +538,7 @@ def q_hash_keys(spark, sf):
 
 
 def q_composite_key(spark, sf):
-    li = spread(tbl(spark, sf, "lineitem"))
+    li = tbl(spark, sf, "lineitem")
     part = F.when(F.col("l_returnflag") == "R", F.lit(None)).otherwise(F.col("l_partkey"))
     fid = keys.composite_id("l_orderkey", part, "l_suppkey", "l_linenumber")
     return li.select("l_orderkey", "l_linenumber", "l_partkey", fid.alias("fid"), keys.short_id(fid).alias("fid_hash5"))
@@ -508,13 +551,13 @@ def q_url_slug(spark, sf):
 
 
 def q_clean_text(spark, sf):
-    d = spread(tbl(spark, sf, "documents")).select("doc_id", text.clean("text").alias("clean_text"), "lang")
+    d = tbl(spark, sf, "documents").select("doc_id", text.clean("text").alias("clean_text"), "lang")
     return d.select("doc_id", "clean_text", F.length("clean_text").cast("bigint").alias("n_clean"),
                     text.text_value("lang").alias("lang"))
 
 
 def q_prefix_strip(spark, sf):
-    d = spread(tbl(spark, sf, "documents"))
+    d = tbl(spark, sf, "documents")
     rec = F.concat(F.when(F.col("lang") == "en", F.lit("Record: ")).when(F.col("lang") == "de", F.lit("RECORD:"))
                    .otherwise(F.lit("")), F.col("text"))
     cleaned = d.select("doc_id", text.clean(rec).alias("c"))
@@ -528,6 +571,9 @@ def _date_texts(o: DataFrame) -> Column:
             .when(p == "2-HIGH", F.date_format(d, "dd/MM/yyyy"))
             .when(p == "3-MEDIUM", F.date_format(d, "MMM d, yyyy"))
             .when(p == "4-NOT SPECIFIED", F.date_format(d, "yyyy-MM-dd HH:mm:ss"))
+            .when((F.col("o_orderstatus") == "F") & (F.dayofmonth(d) <= 5), F.date_format(d, "M/d/yyyy"))
+            .when((F.col("o_orderstatus") == "F") & (F.dayofmonth(d) <= 10), F.date_format(d, "d MMM yyyy"))
+            .when((F.col("o_orderstatus") == "F") & (F.dayofmonth(d) > 25), F.date_format(d, "dd-MM-yyyy"))
             .when(F.col("o_orderstatus") == "F", F.concat(F.lit("30/02/"), F.year(d).cast("string")))
             .when(F.col("o_orderstatus") == "O", F.date_format(d, "yyyy-MM-dd"))
             .otherwise(F.lit("--")))
@@ -540,7 +586,7 @@ def q_parse_date_long(spark, sf):
 
 
 def q_parse_date_multi(spark, sf):
-    o = spread(tbl(spark, sf, "orders"))
+    o = tbl(spark, sf, "orders")
     txt = _date_texts(o)
     return o.select("o_orderkey", txt.alias("txt"), dates.to_ddmmyyyy(txt).alias("ddmmyyyy"))
 
@@ -691,12 +737,12 @@ def q_prepare_nested(spark, sf):
 
 
 def q_output_contract(spark, sf):
-    o = spread(tbl(spark, sf, "orders")).select(
-        F.when(F.col("o_orderstatus") == "P", F.lit("x")).otherwise(F.col("o_orderkey").cast("string")).alias("id_evento"),
+    o = tbl(spark, sf, "orders").select(
+        F.when(F.col("o_orderstatus") == "P", F.lit("x")).otherwise((F.col("o_orderkey") + 3_000_000_000).cast("string")).alias("id_evento"),
         F.col("o_orderpriority").alias("nome"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("data_evento"),
         F.col("o_orderdate").alias("ingerido_em"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("dt_particao"),
         (F.col("o_orderstatus") == "F").alias("luta_titulo"), "o_custkey", "o_totalprice")
-    contract = [("id_evento", "int"), ("nome", "string"), ("data_evento", "string"), ("luta_titulo", "int"),
+    contract = [("id_evento", "bigint"), ("nome", "string"), ("data_evento", "string"), ("luta_titulo", "int"),
                 ("ingerido_em", "string"), ("dt_particao", "string"), ("arbitro", "string")]
     return tables.to_contract(o, contract, drop=["o_custkey", "not_there"])
 
@@ -775,22 +821,26 @@ def _flatten_state(state) -> DataFrame:
 
 
 def _store_versions(spark, store: tables.VersionedTables, state) -> dict:
-    store.commit(store.stage_all(state))
+    store.commit(store.stage_all(state, loads.TABLE_IDS))
     return {name: store.read(name) for name in state}
 
 
 def q_full_load(spark, sf):
-    _, batch = _load_tables(spark, sf)
+    """A full load of all rows replaces the versions of an earlier load."""
+    stored, _ = _load_tables(spark, sf)
     store = tables.VersionedTables(spark, workspace_path(spark, "silver-full"))
+    _store_versions(spark, store, stored)
+    batch = {name: df.withColumn("tag", F.lit("full")) for name, df in stored.items()}
     return _flatten_state(_store_versions(spark, store, loads.full_load(batch)))
 
 
 def q_incremental_merge(spark, sf):
     stored, batch = _load_tables(spark, sf)
     store = tables.VersionedTables(spark, workspace_path(spark, "silver-incr"))
-    current = _store_versions(spark, store, stored)
-    merged = loads.incremental_merge(current, batch, anchor=ANCHOR_ORDERS, days=SCOPE_DAYS)
-    return _flatten_state(_store_versions(spark, store, merged))
+    _store_versions(spark, store, stored)
+    versions, _ = loads.stage_merge(store, batch, anchor=ANCHOR_ORDERS, days=SCOPE_DAYS)
+    store.commit(versions)
+    return _flatten_state({name: store.read(name) for name in versions})
 
 
 def _runs(spark, sf) -> DataFrame:
@@ -823,6 +873,8 @@ QUERIES = {
     "page_join": q_page_join,
     "latest_page": q_latest_page,
     "fetch_frontier": q_fetch_frontier,
+    "bronze_cards": q_bronze_cards,
+    "fighter_candidates": q_fighter_candidates,
     "read_partition": q_read_partition,
     "read_all_partitions": q_read_all_partitions,
     "partition_overwrite": q_partition_overwrite,

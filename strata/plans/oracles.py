@@ -71,14 +71,21 @@ LINE_DEDUP = """
 
 PAGE_PATH = "regexp_extract(url, '^[a-z]+://[^/]+(/[^?#]*)', 1)"
 
-JSON_TEXT = """CASE event_type WHEN 'error' THEN 'nope' WHEN 'view' THEN props
-      WHEN 'click' THEN '[' || props || ', 5, "x"]' WHEN 'signup' THEN '  '
+JSON_TEXT = """CASE WHEN event_type = 'error' AND value > 100 THEN '[' || props || '] x'
+      WHEN event_type = 'error' AND value > 50 THEN '[{''k'':1}]'
+      WHEN event_type = 'view' AND value > 100 THEN chr(160) || '[' || props || ']' || chr(160)
+      WHEN event_type = 'view' AND value > 50 THEN '["{x", "{\\"k\\":9}", ' || props || ']'
+      WHEN event_type = 'error' THEN 'nope' WHEN event_type = 'view' THEN props
+      WHEN event_type = 'click' THEN '[' || props || ', 5, "x"]' WHEN event_type = 'signup' THEN '  '
       ELSE '[' || props || ',' || props || ']' END"""
 
 DATE_TEXT = """CASE WHEN o_orderpriority = '1-URGENT' THEN strftime(o_orderdate, '%B %-d, %Y')
       WHEN o_orderpriority = '2-HIGH' THEN strftime(o_orderdate, '%d/%m/%Y')
       WHEN o_orderpriority = '3-MEDIUM' THEN strftime(o_orderdate, '%b %-d, %Y')
       WHEN o_orderpriority = '4-NOT SPECIFIED' THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')
+      WHEN o_orderstatus = 'F' AND day(o_orderdate) <= 5 THEN strftime(o_orderdate, '%-m/%-d/%Y')
+      WHEN o_orderstatus = 'F' AND day(o_orderdate) <= 10 THEN strftime(o_orderdate, '%-d %b %Y')
+      WHEN o_orderstatus = 'F' AND day(o_orderdate) > 25 THEN strftime(o_orderdate, '%d-%m-%Y')
       WHEN o_orderstatus = 'F' THEN '30/02/' || CAST(year(o_orderdate) AS VARCHAR)
       WHEN o_orderstatus = 'O' THEN strftime(o_orderdate, '%Y-%m-%d')
       ELSE '--' END"""
@@ -88,7 +95,9 @@ def multi_date(t: str) -> str:
     return f"""CASE WHEN regexp_full_match({t}, '\\d{{2}}/\\d{{2}}/\\d{{4}}') THEN try_strptime({t}, '%d/%m/%Y')::DATE
       WHEN regexp_full_match({t}, '\\d{{4}}-\\d{{2}}-\\d{{2}}') THEN try_strptime({t}, '%Y-%m-%d')::DATE
       ELSE COALESCE(try_cast({t} AS TIMESTAMP)::DATE, try_strptime({t}, '%b %d, %Y')::DATE,
-                    try_strptime({t}, '%B %d, %Y')::DATE) END"""
+                    try_strptime({t}, '%B %d, %Y')::DATE, try_strptime({t}, '%m/%d/%Y')::DATE,
+                    try_strptime({t}, '%m-%d-%Y')::DATE, try_strptime({t}, '%d %b %Y')::DATE,
+                    try_strptime({t}, '%d-%m-%Y')::DATE) END"""
 
 
 HEIGHT_TEXT = """CASE WHEN p_type IN ('ECONOMY', 'PROMO')
@@ -158,12 +167,13 @@ def dim_part_sql(mode: str) -> str:
              FROM part WHERE p_type <> 'PROMO')"""
     cand = """cand AS (SELECT p_partkey AS part_key,
                CASE WHEN p_size > 45 THEN upper(p_name) WHEN p_size < 5 THEN NULL
+                    WHEN p_size BETWEEN 13 AND 15 THEN p_name || chr(160)
                     WHEN p_size BETWEEN 10 AND 12 THEN '  ' || p_name || ' ' ELSE p_name END AS n_name,
                CASE WHEN p_size BETWEEN 20 AND 22 THEN p_brand || '/x' WHEN p_size = 30 THEN ''
                     ELSE p_brand END AS n_url
              FROM part WHERE p_type <> 'SMALL')"""
     if mode == "changed":
-        chg = ("((c.n_name IS NOT NULL AND c.n_name <> '' AND trim(COALESCE(k.name, '')) <> trim(c.n_name)) OR "
+        chg = ("((c.n_name IS NOT NULL AND c.n_name <> '' AND " + ustrip("COALESCE(k.name, '')") + " <> " + ustrip("c.n_name") + ") OR "
                "(c.n_url IS NOT NULL AND c.n_url <> '' AND COALESCE(k.url, '') <> c.n_url))")
         upd = f"(c.part_key IS NOT NULL AND {chg})"
         name = f"CASE WHEN {upd} THEN COALESCE(c.n_name, k.name) ELSE k.name END"
@@ -204,10 +214,8 @@ UNION ALL SELECT 'lutas', id_evento, item, tag, CAST(NULL AS VARCHAR) FROM f_lu
 UNION ALL SELECT 'historico_lutas', id_evento, item, tag, CAST(NULL AS VARCHAR) FROM f_hi
 UNION ALL SELECT 'lutadores', id_lutador, CAST(NULL AS BIGINT), tag, CAST(NULL AS VARCHAR) FROM f_fi"""
     if full:
-        return f"""WITH {batch},
-  f_ev AS (SELECT * FROM b_ev), f_lu AS (SELECT * FROM b_lu), f_hi AS (SELECT * FROM b_hi),
-  f_fi AS (SELECT * FROM b_fi)
-{flat}"""
+        replaced = ", ".join(f"f_{t} AS (SELECT * REPLACE ('full' AS tag) FROM s_{t})" for t in ("ev", "lu", "hi", "fi"))
+        return f"WITH {stored}, {replaced} {flat}"
     return f"""WITH {stored}, {batch},
   cur_ids AS (SELECT DISTINCT id_evento FROM b_ev WHERE id_evento IS NOT NULL),
   scope AS (SELECT DISTINCT id_evento FROM s_ev WHERE id_evento IS NOT NULL AND (COALESCE(status = 'upcoming', false)
@@ -321,8 +329,27 @@ SELECT page_id, {clean(f"regexp_extract(html, '{TITLE}', 1)")} AS title,
        regexp_extract_all(html, '{LINK}', 1)[1] AS first_href
 FROM pages WHERE page_id IN (SELECT user_id FROM events)""",
 
-    "fetch_frontier": """
-SELECT DISTINCT user_id AS page_id FROM events WHERE user_id NOT IN (SELECT page_id FROM pages)""",
+    "fetch_frontier": "SELECT CAST(page_id AS VARCHAR) AS page_key FROM pages WHERE contains(url, '?')",
+
+    "bronze_cards": f"""
+WITH it AS (SELECT page_id, url, {NAV_ITEMS} AS items FROM pages),
+u AS (SELECT page_id, unnest(items) AS li, generate_subscripts(items, 1) AS item_pos FROM it),
+idx AS (SELECT page_id, 'completed' AS event_status FROM pages
+        UNION ALL SELECT page_id, 'upcoming' FROM pages WHERE contains(url, '?'))
+SELECT CAST(page_id AS VARCHAR) AS event_id, event_status, CAST(item_pos AS BIGINT) AS item_pos,
+       {unescape("NULLIF(regexp_extract(li, '<a[^>]*href=\"([^\"]*)\"', 1), '')")} AS href
+FROM u JOIN idx USING (page_id)""",
+
+    "fighter_candidates": """
+WITH prof AS (SELECT CAST(c_custkey AS VARCHAR) AS id, CASE WHEN c_acctbal > 0 THEN c_name END AS n,
+                     CASE WHEN c_mktsegment <> 'BUILDING' THEN 'http://p/' || CAST(c_custkey AS VARCHAR) END AS u
+              FROM customer),
+fight AS (SELECT CAST(o_custkey AS VARCHAR) AS id, CASE WHEN o_orderstatus = 'F' THEN 'F' || CAST(o_orderkey AS VARCHAR) END AS n,
+                 'http://o/' || CAST(o_orderkey AS VARCHAR) AS u FROM orders
+          QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY CAST(o_orderkey AS VARCHAR)) = 1)
+SELECT COALESCE(prof.id, fight.id) AS fighter_id, COALESCE(prof.n, fight.n) AS nome_lutador,
+       COALESCE(prof.u, fight.u) AS url_perfil
+FROM prof FULL OUTER JOIN fight ON prof.id = fight.id""",
 
     "read_partition": f"""
 SELECT event_id, ts, user_id, event_type, value, props, '{C.ONE_DAY}' AS dt_particao FROM events
@@ -340,8 +367,8 @@ SELECT event_id, ts, user_id, event_type,
 SELECT event_id, ts, user_id, event_type, value, props, strftime(ts, '%Y-%m-%d') AS dt_particao,
        CASE WHEN strftime(ts, '%Y-%m-%d') >= '{C.EVOLVE_FROM}' THEN upper(event_type) END AS channel FROM events""",
 
-    "stage_counts": f"""
-SELECT 'pages' AS stage, CAST(count(*) AS BIGINT) AS n_rows FROM pages
+    "stage_counts": "\nUNION ALL ".join(
+        f"SELECT '{t}' AS stage, CAST(count(*) AS BIGINT) AS n_rows FROM {t}" for t in C.ALL_TABLES) + f"""
 UNION ALL SELECT 'pages_keyed', count(*) FROM pages WHERE {url_id('url')} IS NOT NULL
 UNION ALL SELECT 'links', CAST(sum(len(regexp_extract_all(html, '{LINK}', 1))) AS BIGINT) FROM pages
   WHERE {url_id('url')} IS NOT NULL""",
@@ -479,7 +506,7 @@ SELECT l_orderkey, l_linenumber,
 FROM k""",
 
     "parse_json_array": f"""
-WITH t AS (SELECT event_id, trim({JSON_TEXT}) AS js FROM events),
+WITH t AS (SELECT event_id, {ustrip(JSON_TEXT)} AS js FROM events),
 items AS (SELECT event_id, unnest(json_extract(js, '$[*]')) AS item FROM t
           WHERE json_valid(js) AND json_type(js) = 'ARRAY'),
 objs AS (SELECT event_id, count(*) AS n, sum(CAST(json_extract(item, '$.k') AS INTEGER)) AS s FROM items
@@ -583,7 +610,7 @@ SELECT fighter_id, nome, cartel, {height_cm('h')} AS altura, {weight_kg('w')} AS
 FROM b""",
 
     "output_contract": """
-SELECT TRY_CAST(CASE WHEN o_orderstatus = 'P' THEN 'x' ELSE CAST(o_orderkey AS VARCHAR) END AS INTEGER) AS id_evento,
+SELECT TRY_CAST(CASE WHEN o_orderstatus = 'P' THEN 'x' ELSE CAST(o_orderkey + 3000000000 AS VARCHAR) END AS BIGINT) AS id_evento,
        o_orderpriority AS nome, strftime(o_orderdate, '%Y-%m-%d') AS data_evento,
        CAST(o_orderstatus = 'F' AS INTEGER) AS luta_titulo, strftime(o_orderdate, '%d/%m/%Y') AS ingerido_em,
        strftime(o_orderdate, '%d/%m/%Y') AS dt_particao, NULL::VARCHAR AS arbitro FROM orders""",
@@ -612,8 +639,8 @@ WITH r AS (SELECT CAST(event_id AS VARCHAR) AS run_id, strftime(ts, '%Y-%m-%d')
                   CASE WHEN event_type = 'purchase' THEN 'concluido' ELSE event_type END AS status,
                   ts AS iniciado_em FROM events)
 (SELECT NULL::VARCHAR AS for_dt, run_id, tipo_carga, iniciado_em FROM r WHERE status = 'concluido'
- ORDER BY iniciado_em DESC LIMIT 1)
+ ORDER BY iniciado_em DESC, run_id DESC LIMIT 1)
 UNION ALL
 (SELECT '{C.ONE_DAY}', run_id, tipo_carga, iniciado_em FROM r WHERE status = 'concluido' AND dt = '{C.ONE_DAY}'
- ORDER BY iniciado_em DESC LIMIT 1)""",
+ ORDER BY iniciado_em DESC, run_id DESC LIMIT 1)""",
 }

@@ -8,9 +8,10 @@ commit (``VersionedTables``), after data-quality checks.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import os
+import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions import codes, dates, units
@@ -18,17 +19,48 @@ from strata.functions.codes import title_flag
 from strata.operators import dedupe, dims, facts, loads, quality
 from strata.schemas import (BIO, CAREER, CONTRACT_EVENTS, CONTRACT_FIGHTERS, CONTRACT_FIGHTS, CONTRACT_HISTORY,
                             DIM_BONUS, DIM_EVENT, DIM_FIGHT, DIM_FIGHTER, STAT_FIELDS)
+from strata.session import workspace_path
 from strata.sources import tables
 
 
-# Declared text lengths of the silver tables (checked before commit).
-QUALITY_RULES = {
-    "eventos": (["id_evento"], {"nome": 300, "local": 300, "status": 20}),
-    "lutas": (["id_luta"], {"nome_evento": 300, "ordem_luta": 20, "metodo": 120, "arbitro": 120}),
-    "historico_lutas": (["id_luta", "id_lutador"], {"nome_lutador": 200, "resultado": 20, "sig_str": 40}),
+# Constraints of the silver tables (keys, NOT NULL, text lengths), checked before each commit.
+_DAYS = {"ingerido_em": 10, "dt_particao": 10}
+_STAMPS = ["criado_em", "atualizado_em"]
+TABLE_RULES = {
+    "dim_bonus": {"key": ["codigo_bonus"], "unique": [["codigo_bonus"]],
+                  "not_null": ["codigo_bonus", "descricao_bonus", *_STAMPS], "max_len": {"descricao_bonus": 120}},
+    "dim_evento": {"key": ["event_id"], "unique": [["id_evento"], ["event_id"]],
+                   "not_null": ["id_evento", "event_id", *_STAMPS],
+                   "max_len": {"event_id": 40, "nome_evento": 300, "event_url": 300}},
+    "dim_luta": {"key": ["fight_id"], "unique": [["id_luta"], ["fight_id"]], "not_null": ["id_luta", "fight_id", *_STAMPS],
+                 "max_len": {"fight_id": 40, "fight_url": 300, "nome_evento": 300}},
+    "dim_lutador": {"key": ["fighter_id"], "unique": [["id_lutador"], ["fighter_id"]],
+                    "not_null": ["id_lutador", "fighter_id", *_STAMPS],
+                    "max_len": {"fighter_id": 40, "nome_lutador": 200, "url_perfil": 300}},
+    "eventos": {"key": ["id_evento"], "flag_null": ["id_evento"],
+                "max_len": {"nome": 300, "data_evento": 10, "local": 300, "status": 100, **_DAYS}},
+    "lutas": {"key": ["id_luta"], "flag_null": ["id_evento"],
+              "max_len": {"nome_evento": 300, "status_evento": 100, "ordem_luta": 20, "tipo_luta": 40, "metodo": 120,
+                          "round": 20, "tempo": 20, "formato_tempo": 80, "arbitro": 120, **_DAYS}},
+    "lutadores": {"key": ["id_lutador"], "flag_null": ["id_lutador"],
+                  "max_len": {"nome": 200, "cartel": 50, "stance": 50, "data_nascimento": 40, "str_acc_pct": 20,
+                              "str_def_pct": 20, "td_acc_pct": 20, **_DAYS}},
+    "historico_lutas": {"key": ["id_luta", "id_lutador"], "flag_null": ["id_evento"],
+                        "max_len": {"nome_lutador": 200, "resultado": 20, "nome_evento": 300, "ordem_luta": 20,
+                                    "tipo_luta": 40, "metodo": 120, "round_final": 20, "tempo": 20, "formato_tempo": 80,
+                                    "arbitro": 120, "sig_str": 40, "sig_str_pct": 20, "head": 40, "body": 40, "leg": 40,
+                                    "distance": 40, "clinch": 40, "ground": 40, **_DAYS}},
 }
 
 
+def _checked_commit(store: tables.VersionedTables, staged: dict, base: int | None = None, written: dict | None = None) -> None:
+    """Check what was written of each table (unique keys: over the whole of it), keep all violations, commit if none blocks."""
+    frames = store.staged_frames(staged if written is None else written)
+    path = os.path.join(store.root, "_violations", uuid.uuid4().hex[:12])
+    quality.enforce(frames, {t: TABLE_RULES[t] for t in frames}, path)
+    store.commit(staged, base)
+
+
 def _tiebreak(df: DataFrame) -> list:
     """Read order: partition date, then the line position when it is known."""
     out = [c for c in ("dt_particao", "_read_order") if c in df.columns]
@@ -98,16 +130,20 @@ def _fields(df: DataFrame, struct_col: str) -> set:
 
 
 def fighter_candidates(fighters: DataFrame, fights: DataFrame) -> DataFrame:
-    """Profile rows first, then people named inside fights; first non-null per id."""
-    prof = fighters.select("fighter_id", F.col("nome").alias("nome_lutador"), "url_perfil",
-                           F.lit(0).alias("_src"), F.col("dt_particao").alias("_o1"), F.lit(0).alias("_o2"))
-    people = (fights.select("dt_particao", "fight_id", F.posexplode("fighters").alias("_pos", "_f"))
+    """Profile rows first, then people named inside fights; first non-null value per id.
+
+    Of the people named in fights only the first of each id counts (by fight, then position),
+    whatever later ones could add.
+    """
+    prof = fighters.where(F.coalesce("fighter_id", F.lit("")) != "").select(
+        "fighter_id", F.col("nome").alias("nome_lutador"), "url_perfil", F.lit(0).alias("_src"))
+    people = (fights.select("fight_id", F.posexplode("fighters").alias("_pos", "_f"))
               .select(F.col("_f.fighter_id").alias("fighter_id"), F.col("_f.name").alias("nome_lutador"),
-                      F.col("_f.profile_url").alias("url_perfil"), F.lit(1).alias("_src"),
-                      F.concat_ws("|", "dt_particao", "fight_id").alias("_o1"), F.col("_pos").alias("_o2"))
-              .where(F.col("fighter_id").isNotNull() & (F.col("fighter_id") != "")))
-    both = prof.where(F.col("fighter_id").isNotNull()).unionByName(people)
-    return dedupe.first_non_null(both, "fighter_id", ["nome_lutador", "url_perfil"], ["_src", "_o1", "_o2"])
+                      F.col("_f.profile_url").alias("url_perfil"), "fight_id", "_pos")
+              .where(F.coalesce("fighter_id", F.lit("")) != ""))
+    named = dedupe.first_per_key(people, "fighter_id", ["fight_id", "_pos"]).select(
+        "fighter_id", "nome_lutador", "url_perfil", F.lit(1).alias("_src"))
+    return dedupe.first_non_null(prof.unionByName(named), "fighter_id", ["nome_lutador", "url_perfil"], ["_src"])
 
 
 def build_dimensions(spark: SparkSession, store: tables.VersionedTables, events: DataFrame,
@@ -117,16 +153,16 @@ def build_dimensions(spark: SparkSession, store: tables.VersionedTables, events:
     bonus = dims.upsert_code_dimension(cur_bonus, fights.select("codigo_bonus"), "codigo_bonus", now)
 
     cur_event = store.read("dim_evento", DIM_EVENT)
-    ev_cand = dedupe.first_per_key(events.where(F.col("event_id").isNotNull()), "event_id", _tiebreak(events) or ["event_id"])
+    ev_cand = dedupe.first_per_key(quality.key_not_null(events, "event_id"), "event_id", _tiebreak(events) or ["event_id"])
     ev_cand = ev_cand.select("event_id", F.col("nome").alias("nome_evento"), "event_url")
     dim_event = dims.upsert_dimension(cur_event, ev_cand, "event_id", "id_evento", ["nome_evento", "event_url"],
                                       "changed", now, trim_compare={"nome_evento": True, "event_url": False})
     staged = {"dim_bonus": store.stage("dim_bonus", bonus), "dim_evento": store.stage("dim_evento", dim_event)}
-    store.commit(staged)
+    _checked_commit(store, staged)
     dim_event = store.read("dim_evento")
 
     cur_fight = store.read("dim_luta", DIM_FIGHT)
-    f_cand = dedupe.first_per_key(fights.where(F.col("fight_id").isNotNull()), "fight_id", _tiebreak(fights) or ["fight_id"])
+    f_cand = dedupe.first_per_key(quality.key_not_null(fights, "fight_id"), "fight_id", _tiebreak(fights) or ["fight_id"])
     f_cand = facts.attach_ids(f_cand.select("fight_id", "event_id", "fight_url", "nome_evento"),
                               [(dim_event, "event_id", ["id_evento"])]).drop("event_id")
     dim_fight = dims.upsert_dimension(cur_fight, f_cand, "fight_id", "id_luta", ["id_evento", "fight_url", "nome_evento"],
@@ -135,8 +171,8 @@ def build_dimensions(spark: SparkSession, store: tables.VersionedTables, events:
     dim_fighter = dims.upsert_dimension(cur_fighter, fighter_candidates(fighters, fights), "fighter_id", "id_lutador",
                                         ["nome_lutador", "url_perfil"], "changed", now,
                                         trim_compare={"nome_lutador": True, "url_perfil": False})
-    store.commit({"dim_luta": store.stage("dim_luta", dim_fight),
-                  "dim_lutador": store.stage("dim_lutador", dim_fighter)})
+    _checked_commit(store, {"dim_luta": store.stage("dim_luta", dim_fight),
+                            "dim_lutador": store.stage("dim_lutador", dim_fighter)})
     return {n: store.read(n) for n in ("dim_bonus", "dim_evento", "dim_luta", "dim_lutador")}
 
 
@@ -156,11 +192,12 @@ def history_fact(fights_ids: DataFrame, dim_fight: DataFrame, dim_fighter: DataF
 def run_silver(spark: SparkSession, bronze_events: DataFrame, bronze_fights: DataFrame,
                bronze_fighters: DataFrame, store: tables.VersionedTables, *, full: bool,
                anchor: str, now, scope_days: int = 30) -> dict[str, int]:
-    """Prepare, upsert dimensions, attach ids, build the fact and load."""
+    """Prepare, upsert dimensions, attach ids, build the fact and load; returns the batch's rows by table."""
     events = prepare_events(bronze_events)
-    fights = prepare_fights(bronze_fights).persist()  # feeds four dimension/fact branches
+    fights = loads.materialize(prepare_fights(bronze_fights), "silver-fights")  # feeds four dimension/fact branches
     fighters = prepare_fighters(bronze_fighters)
     d = build_dimensions(spark, store, events, fights, fighters, now)
+    base = store.seq()
 
     events_ids = facts.attach_ids(events, [(d["dim_evento"], "event_id", ["id_evento"])])
     fights_ids = facts.attach_ids(fights, [(d["dim_evento"], "event_id", ["id_evento"]),
@@ -168,24 +205,23 @@ def run_silver(spark: SparkSession, bronze_events: DataFrame, bronze_fights: Dat
     fighters_ids = facts.attach_ids(fighters, [(d["dim_lutador"], "fighter_id", ["id_lutador"])])
     history = history_fact(fights, d["dim_luta"], d["dim_lutador"])
 
-    batch = {
+    frames = {
         "eventos": tables.to_contract(events_ids, CONTRACT_EVENTS),
         "lutas": tables.to_contract(fights_ids, CONTRACT_FIGHTS),
         "lutadores": tables.to_contract(fighters_ids, CONTRACT_FIGHTERS),
         "historico_lutas": tables.to_contract(history, CONTRACT_HISTORY),
     }
+    batch, counts = {}, {}
+    for name, df in frames.items():
+        path = workspace_path(spark, f"silver-{name}")
+        counts[name] = tables.observed_write(df, name, path)["rows"]
+        batch[name] = spark.read.schema(df.schema).parquet(path)
     if full:
-        state = loads.full_load(batch)
+        staged = written = store.stage_all(loads.full_load(batch), loads.TABLE_IDS)
     else:
-        stored = {t: store.read(t, None) if store.current_path(t) else batch[t].limit(0) for t in batch}
-        state = loads.incremental_merge(stored, batch, anchor=anchor, days=scope_days)
-    staged = store.stage_all(state)
-    staged_frames = {t: spark.read.parquet(p) for t, p in staged.items()}
-    for t, (key, limits) in QUALITY_RULES.items():
-        quality.assert_clean(staged_frames[t], key=key, max_len=limits)
-    store.commit(staged)
-    fights.unpersist()
-    return {t: staged_frames[t].count() for t in ("eventos", "lutas", "lutadores", "historico_lutas")}
+        staged, written = loads.stage_merge(store, batch, anchor=anchor, days=scope_days)
+    _checked_commit(store, staged, base, written)
+    return counts
 
 
 def load(spark: SparkSession, bronze_root: str, store: tables.VersionedTables, ledger_path: str, *,
@@ -200,13 +236,13 @@ def load(spark: SparkSession, bronze_root: str, store: tables.VersionedTables, l
     from strata.plans.bronze import read_bronze
     from strata.sources import ledger
     runs = spark.read.parquet(ledger_path)
-    last_silver = (runs.where((F.col("estagio") == "silver") & (F.col("status") == ledger.DONE))
-                   .agg(F.max("dt").alias("m")).first()["m"])
-    if dt is not None and last_silver is not None and dt < last_silver and not force:
-        raise ValueError(f"dt {dt} is older than the last silver load ({last_silver}); pass force=True")
+    if not force:
+        ledger.refuse_older(runs, dt)
     load_type = ledger.load_type_for(runs.where(F.col("estagio") != "silver"), dt)
     bronze = read_bronze(spark, bronze_root, dt)
     counts = run_silver(spark, bronze["eventos"], bronze["lutas"], bronze["lutadores"], store,
                         full=(load_type == "initial"), anchor=anchor, now=now)
+    ledger.record_audit(spark, os.path.join(bronze_root, "_audit"), run_id, dt or "",
+                        {f"silver_{name}": n for name, n in counts.items()})
     ledger.record_run(spark, ledger_path, run_id, dt or "", load_type, "silver", now)
     return counts

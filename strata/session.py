@@ -1,8 +1,9 @@
 """Session construction and the shared scratch location.
 
 Scratch tables (staged loads, lineage cuts) live under the folder the
-cluster names in ``spark.checkpoint.dir``. A local folder is created only
-when that setting is absent, which is the case for tests and local runs.
+cluster names in ``spark.checkpoint.dir``. A local folder is created only in
+local mode and when that setting is absent, as in tests; on a cluster its
+absence is an error, since executors would write to disks of their own.
 """
 
 from __future__ import annotations
@@ -47,7 +48,6 @@ def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int =
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
-        "spark.sql.autoBroadcastJoinThreshold": str(64 * MB),
     }
 
 
@@ -75,8 +75,13 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process (``local-cluster`` is a cluster)."""
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; create a local one only if unset."""
+    """Return the shared checkpoint folder; create a local one only in local mode and if unset."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -84,8 +89,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
-    else:
+    elif is_local(sc.master):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="strata-ckpt-"))
+    else:
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that all of {sc.master} shares")
     return sc.getCheckpointDir()
 
 

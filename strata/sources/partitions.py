@@ -56,7 +56,15 @@ def read_all_partitions(spark: SparkSession, base: str, schema: StructType,
     return df.withColumnRenamed("dt", out_col)
 
 
+def write_partition(df: DataFrame, base: str, dt: str) -> None:
+    """Replace the one partition ``dt``; an empty batch leaves it there, empty."""
+    (df.drop("dt").write.mode("overwrite").options(**TS_OPTIONS).json(os.path.join(base, f"dt={dt}")))
+
+
 def write_partitions(df: DataFrame, base: str, dt_col: str = "dt") -> None:
-    """Write JSON Lines by ``dt``, replacing only the partitions present in ``df``."""
+    """Write JSON Lines by ``dt``, replacing only the partitions present in ``df``.
+
+    An empty batch names no partition and replaces none; see ``write_partition``.
+    """
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**TS_OPTIONS)
        .partitionBy(dt_col).json(base))

@@ -1,11 +1,10 @@
 """Table sinks: typed output contracts, schema evolution, versioned writes.
 
 Parquet tables cannot be overwritten while they are being read, and have no
-MERGE. A load therefore writes each table to a *new version directory*,
-checks it, and then appends one row to a small ``_versions`` table naming
-the current version. Readers resolve the newest committed version, so they
-never observe a half-written load, and a failed load leaves the previous
-version current.
+MERGE. A load therefore writes new parts of each table to *new directories*,
+checks them, and then appends to a small ``_versions`` table which parts are
+current. Readers resolve the newest committed version, so they never observe a
+half-written load, and a failed load leaves the previous version current.
 """
 
 from __future__ import annotations
@@ -48,7 +47,8 @@ def to_contract(df: DataFrame, contract: Sequence[tuple[str, str]],
 
     * columns in ``drop`` are removed first (absent ones are ignored);
     * ``date_text_cols`` become ``dd/MM/yyyy`` text;
-    * int columns use ``try_cast`` (bad ids -> null instead of an ANSI error);
+    * int columns use ``try_cast`` on text (bad ids -> null instead of an ANSI error) and a
+      strict cast on numbers (one that does not fit is an error, never a null);
     * boolean flags become 0/1; missing contract columns become typed nulls.
     """
     df = df.drop(*drop)
@@ -65,7 +65,7 @@ def to_contract(df: DataFrame, contract: Sequence[tuple[str, str]],
         elif src_type == "boolean" and dtype in ("int", "integer"):
             c = c.cast("int")
         elif dtype in ("int", "integer", "bigint", "double"):
-            c = c.try_cast(dtype)
+            c = c.try_cast(dtype) if src_type == "string" else c.cast(dtype)
         elif src_type.startswith("timestamp") and dtype == "string":
             c = c.cast("string")
         else:
@@ -91,58 +91,110 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+class ConcurrentCommit(RuntimeError):
+    """Another load committed after this one read its base version."""
+
+
 class VersionedTables:
-    """Tables stored as immutable versions plus a ``_versions`` commit log."""
+    """Tables stored as immutable parts plus a ``_versions`` commit log.
+
+    A version of a table is the list of its parts. Tables with an id are cut into
+    parts by ranges of ``width`` ids (rows without an id: a part of their own), so a
+    load can write new parts for the ranges that it touches and name the others
+    again. Ids are sequential, hence recent events share few ranges.
+    """
 
-    def __init__(self, spark: SparkSession, root: str):
+    NO_ID = -1          # part of the rows without an id
+    SCHEMA_ONLY = -2    # empty part that carries the schema
+
+    def __init__(self, spark: SparkSession, root: str, width: int = 1 << 16):
         self.spark = spark
         self.root = root
+        self.width = width
         self.log_path = os.path.join(root, "_versions")
 
+    def _fs(self, path: str):
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
+
     def _log(self) -> DataFrame | None:
         """The commit log, or None before the first commit (checked, not caught)."""
         if not path_exists(self.spark, self.log_path):
             return None
         return self.spark.read.parquet(self.log_path)
 
-    def current_path(self, table: str) -> str | None:
+    def seq(self) -> int:
+        """Number of the last commit; 0 before the first."""
+        log = self._log()
+        return 0 if log is None else log.agg(F.max("seq").alias("m")).first()["m"]
+
+    def parts(self, table: str) -> list[tuple[int, str]]:
+        """(part, path) of the current version: as many rows as the table has id ranges."""
         log = self._log()
         if log is None:
-            return None
-        row = (log.where(F.col("table_name") == table)
-               .orderBy(F.col("seq").desc(), F.col("version").desc()).select("path").first())
-        return row["path"] if row else None
+            return []
+        own = log.where(F.col("table_name") == table)
+        last = own.agg(F.max("seq").alias("seq"))
+        return sorted((r["part"], r["path"]) for r in own.join(last, "seq").select("part", "path").collect())
+
+    def current_paths(self, table: str) -> list[str]:
+        return [path for _, path in self.parts(table)]
 
     def read(self, table: str, schema: StructType | None = None) -> DataFrame:
-        path = self.current_path(table)
-        if path is None:
+        paths = self.current_paths(table)
+        if not paths:
             if schema is None:
                 raise FileNotFoundError(f"table {table!r} has no committed version")
             return empty_like(self.spark, schema)
-        return self.spark.read.parquet(path)
+        return self.spark.read.parquet(*paths)
 
-    def stage(self, table: str, df: DataFrame) -> str:
-        """Write a new, not yet visible version; returns its path."""
-        path = os.path.join(self.root, table, f"v={uuid.uuid4().hex}")
-        df.write.mode("errorifexists").parquet(path)
-        return path
+    def part_of(self, id_col: str) -> Column:
+        """The part that an id's row is in."""
+        return F.coalesce(F.floor(F.col(id_col) / self.width).cast("bigint"), F.lit(self.NO_ID).cast("bigint"))
+
+    def stage(self, table: str, df: DataFrame, id_col: str | None = None) -> list[tuple[int, str]]:
+        """Write new, not yet visible parts; returns (part, path) of each.
 
-    def stage_all(self, frames: Mapping[str, DataFrame]) -> dict[str, str]:
+        Without ``id_col`` the table is one part. With it, rows are dealt to parts by id; AQE
+        evens out the writing tasks (a large part is written by several).
+        """
+        path = os.path.join(self.root, table, f"v={uuid.uuid4().hex}")
+        if id_col is None:
+            df.write.mode("errorifexists").parquet(path)
+            return [(0, path)]
+        empty = os.path.join(path, "empty")
+        df.limit(0).write.parquet(empty)
+        dealt = os.path.join(path, "parts")
+        (df.withColumn("_part", self.part_of(id_col)).hint("rebalance", "_part")
+         .write.partitionBy("_part").parquet(dealt))
+        fs, p = self._fs(dealt)
+        found = [str(f.getPath().getName()) for f in fs.listStatus(p) if f.isDirectory()]
+        return [(self.SCHEMA_ONLY, empty)] + sorted((int(n.split("=")[1]), os.path.join(dealt, n)) for n in found if "=" in n)
+
+    def stage_all(self, frames: Mapping[str, DataFrame], ids: Mapping[str, str] | None = None) -> dict[str, list]:
         """Stage several tables at once: independent write jobs submitted concurrently."""
         from concurrent.futures import ThreadPoolExecutor
+        ids = ids or {}
         with ThreadPoolExecutor(max_workers=max(1, min(4, len(frames)))) as pool:
-            futures = {name: pool.submit(self.stage, name, df) for name, df in frames.items()}
+            futures = {name: pool.submit(self.stage, name, df, ids.get(name)) for name, df in frames.items()}
             return {name: f.result() for name, f in futures.items()}
 
-    def commit(self, staged: Mapping[str, str]) -> None:
-        """Make staged versions current with one append to the commit log."""
-        log = self._log()
-        seq = 0
-        if log is not None:
-            m = log.agg(F.max("seq").alias("m")).first()["m"]
-            seq = (m or 0) + 1
-        rows = [(t, p, os.path.basename(p), seq) for t, p in staged.items()]
-        (self.spark.createDataFrame(rows, "table_name string, path string, version string, seq long")
+    def staged_frames(self, staged: Mapping[str, list]) -> dict[str, DataFrame]:
+        return {t: self.spark.read.parquet(*[path for _, path in parts]) for t, parts in staged.items()}
+
+    def commit(self, staged: Mapping[str, list], base: int | None = None) -> None:
+        """Make the staged parts the current versions, as commit ``base + 1`` (default: after the last one).
+
+        The commit's number is claimed by creating a file that must not exist, so of two loads
+        that started from one base the second fails and nothing of it becomes visible.
+        """
+        seq = (self.seq() if base is None else base) + 1
+        fs, claim = self._fs(os.path.join(self.root, "_commits", f"{seq:012d}"))
+        fs.mkdirs(claim.getParent())
+        if not fs.createNewFile(claim):
+            raise ConcurrentCommit(f"commit {seq} is taken; read the tables again and repeat the load")
+        rows = [(t, part, path, seq) for t, parts in staged.items() for part, path in parts]
+        (self.spark.createDataFrame(rows, "table_name string, part long, path string, seq long")
          .withColumn("committed_at", F.current_timestamp())
          .coalesce(1).write.mode("append").parquet(self.log_path))
 
@@ -150,8 +202,12 @@ class VersionedTables:
 def observed_write(df: DataFrame, name: str, path: str, fmt: str = "parquet",
                    extra_metrics: Sequence[Column] = ()) -> dict:
     """Write ``df`` and return its row count (and extra metrics) from the same pass."""
+    return observed(df, name, lambda out: out.write.mode("overwrite").format(fmt).save(path), extra_metrics)
+
+
+def observed(df: DataFrame, name: str, write, extra_metrics: Sequence[Column] = ()) -> dict:
+    """Row count (and extra metrics) of ``df``, counted while ``write(df)`` writes it."""
     from pyspark.sql import Observation
     obs = Observation(name)
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), *extra_metrics)
-    observed.write.mode("overwrite").format(fmt).save(path)
+    write(df.observe(obs, F.count(F.lit(1)).alias("rows"), *extra_metrics))
     return obs.get

@@ -1,8 +1,11 @@
 """Streaming entry point for incremental loads.
 
-New ``dt=`` partitions of the bronze fights set are picked up exactly once
-per checkpoint with ``trigger(availableNow=True)``; each micro-batch runs the
-normal silver merge through ``foreachBatch``. "Late data" is handled the
+The stream follows the run ledger: a row says that a bronze run is complete,
+with all its partitions landed. ``trigger(availableNow=True)`` picks up every
+row once per checkpoint and ``foreachBatch`` loads its ``dt`` by the normal
+silver job. A ``dt`` older than the newest loaded one is refused, as in the
+batch job: merging it would delete newer events as stale. The refusal is a
+ledger row, and the stream goes on. "Late data" within a load is handled the
 way the batch job handles it: the newest ``ingested_at`` wins per key.
 """
 
@@ -14,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from strata.sources import ledger
 from strata.sources.partitions import TS_OPTIONS
 
 
@@ -24,10 +28,9 @@ def stream_partitions(spark: SparkSession, base: str, schema: StructType) -> Dat
             .json(base).withColumnRenamed("dt", "dt_particao"))
 
 
-def run_available(spark: SparkSession, base: str, schema: StructType, checkpoint: str,
-                  handle_batch: Callable[[DataFrame, int], None]) -> None:
-    """Process every partition not yet seen by ``checkpoint``, then stop."""
-    q = (stream_partitions(spark, base, schema).writeStream
+def run_available(stream: DataFrame, checkpoint: str, handle_batch: Callable[[DataFrame, int], None]) -> None:
+    """Process everything not yet seen by ``checkpoint``, then stop."""
+    q = (stream.writeStream
          .option("checkpointLocation", checkpoint)
          .foreachBatch(handle_batch)
          .trigger(availableNow=True)
@@ -35,29 +38,24 @@ def run_available(spark: SparkSession, base: str, schema: StructType, checkpoint
     q.awaitTermination()
 
 
-def count_by_partition(batch: DataFrame) -> DataFrame:
-    return batch.groupBy("dt_particao").agg(F.count(F.lit(1)).alias("rows"))
+def silver_on_new_runs(spark: SparkSession, bronze_root: str, store, ledger_path: str, checkpoint: str, *,
+                       now, anchor: str | None = None) -> None:
+    """Silver load for every completed bronze run not yet processed, in order of ``dt``.
 
-
-def silver_on_new_partitions(spark: SparkSession, bronze_root: str, store, checkpoint: str, *,
-                             anchor: str, now) -> None:
-    """Incremental silver load for every bronze ``dt`` not yet processed.
-
-    The stream over the bronze events set only tracks *which* partitions are
-    new (exactly once per checkpoint); each new ``dt`` is then loaded by the
-    batch merge. The list of new dates per micro-batch is one row per
-    partition, so it is small by construction.
+    A micro-batch's list of days is one row per bronze run, so it is small by construction.
+    ``anchor``: the day that scopes count back from (default: the run's own).
     """
-    import os
-
-    from strata.plans.bronze import read_bronze
-    from strata.plans.silver import run_silver
-    from strata.schemas import BRONZE_EVENTS
+    from strata.plans.silver import load
 
     def handle(batch: DataFrame, epoch: int) -> None:
-        new_dts = sorted(r["dt_particao"] for r in batch.select("dt_particao").distinct().collect())
-        for d in new_dts:
-            b = read_bronze(spark, bronze_root, d)
-            run_silver(spark, b["eventos"], b["lutas"], b["lutadores"], store, full=False, anchor=anchor, now=now)
-
-    run_available(spark, os.path.join(bronze_root, "bronze", "eventos"), BRONZE_EVENTS, checkpoint, handle)
+        done = batch.where((F.col("estagio") == "bronze") & (F.col("status") == ledger.DONE))
+        for row in done.groupBy("dt").agg(F.max("tipo_carga").alias("kind")).orderBy("dt").collect():
+            run_id = ledger.new_batch()["run_id"]
+            try:
+                ledger.refuse_older(spark.read.parquet(ledger_path), row["dt"])
+            except ValueError:
+                ledger.record_run(spark, ledger_path, run_id, row["dt"], row["kind"], "silver", now, ledger.REFUSED)
+                continue
+            load(spark, bronze_root, store, ledger_path, dt=row["dt"], anchor=anchor or row["dt"], now=now, run_id=run_id)
+
+    run_available(spark.readStream.schema(ledger.LEDGER_SCHEMA).parquet(ledger_path), checkpoint, handle)

@@ -26,8 +26,8 @@ def landed(spark, dt_value="2024-06-02"):
             ("event", aaa, page("event_card.html"), dt_value),
             ("fight", "f1", page("fight.html"), dt_value),
             ("fight", "f2", page("fight_no_rounds.html"), dt_value),
-            ("fighter", "a", "<html>stale copy</html>", "2024-01-01"),
-            ("fighter", "a", page("fighter.html"), "2024-05-01")]
+            ("fighter", sha1("http://stats.example/fighter-details/a"), "<html>stale copy</html>", "2024-01-01"),
+            ("fighter", sha1("http://stats.example/fighter-details/a"), page("fighter.html"), "2024-05-01")]
     return spark.createDataFrame(data, "kind string, page_key string, html string, dt string")
 
 
@@ -59,7 +59,8 @@ def test_bronze(spark, bronze_result):
     assert sorted(r["name"] for r in res.fighter_index.collect()) == ["Alpha One", "Beta Two"]
     f = rows(res.fighters)
     assert len(f) == 1 and f[0]["career_stats"]["slpm"] == "4.60"
-    assert [(r["kind"], r["page_key"]) for r in res.missing.collect()] == [("fighter", "b")]
+    assert [(r["kind"], r["page_key"]) for r in res.missing.collect()] == [("fighter", sha1(blue))]
+    assert res.counts == {"eventos": 4, "lutas": 2, "lutadores_index": 2, "lutadores": 1}
     # lookback filter in incremental mode keeps upcoming and recent events only
     inc = bronze.event_index(landed(spark), full_load=False, anchor="2024-06-02", lookback_days=7)
     assert [r["name"] for r in inc.collect()] == ["Night Three", "Future Night"]
@@ -100,6 +101,65 @@ def test_silver_full_then_incremental(spark, root, bronze_result):
     after = {t: sorted(map(str, rows(store.read(t)))) for t in before}
     assert after == before
     assert {r["event_id"]: r["id_evento"] for r in rows(store.read("dim_evento"))} == dim_ev
+    # an incremental load reports its batch, not the stored tables
+    b = bronze.read_bronze(spark, root, "2024-06-02")
+    one = b["eventos"].where("name = 'Night One'")
+    counts3 = silver.run_silver(spark, one, b["lutas"], b["lutadores"], store, full=False, anchor="2024-06-02",
+                                now=dt.datetime(2024, 6, 2, 12))
+    assert counts3["eventos"] == 1 and store.read("eventos").count() == 2  # older events stay, the others of the scope were stale
+
+
+def test_event_on_both_lists_and_no_fighter_pages(spark):
+    """One fight row per listing row; a set without rows is an empty partition, also over an earlier one."""
+    root = tempfile.mkdtemp(prefix="strata-both-")
+    both = page("event_upcoming.html").replace("event-details/ddd", "event-details/aaa")
+    pages = landed(spark).where("kind not in ('events_upcoming', 'fighter')").unionByName(spark.createDataFrame(
+        [("events_upcoming", "list", both, "2024-06-02")], "kind string, page_key string, html string, dt string"))
+    run = dict(dt="2024-06-02", ingested_at="2024-06-02T10:00:00Z", full_load=True, anchor="2024-06-02")
+    bronze.run_bronze(spark, landed(spark), root, **run)
+    res = bronze.run_bronze(spark, pages, root, **run)
+    got = sorted((r["bout_order"], r["event_status"]) for r in rows(res.fights))
+    assert got == [("1", "completed"), ("1", "upcoming"), ("2", "completed"), ("2", "upcoming")]
+    assert res.fighters.count() == 0 and bronze.read_bronze(spark, root, "2024-06-02")["lutadores"].count() == 0
+
+
+def test_limits_are_for_full_loads_only(spark):
+    root = tempfile.mkdtemp(prefix="strata-limits-")
+    run = dict(dt="2024-06-02", ingested_at="t", anchor="2024-06-02")
+    for limit in ("limit", "max_fights_per_event", "max_fighters"):
+        with pytest.raises(ValueError, match="full_load"):
+            bronze.run_bronze(spark, landed(spark), root, full_load=False, **run, **{limit: 1})
+    res = bronze.run_bronze(spark, landed(spark), root, full_load=True, max_fighters=1, **run)
+    assert [r["name"] for r in res.fighter_index.collect()] == ["Alpha One"]
+
+
+def test_duplicate_natural_key_blocks_the_commit(spark):
+    store = tables.VersionedTables(spark, tempfile.mkdtemp(prefix="strata-dup-"))
+    now = dt.datetime(2024, 1, 1)
+    dup = spark.createDataFrame([(1, "e", "a", "u", now, now), (2, "e", "b", "u", now, now)], silver.DIM_EVENT)
+    with pytest.raises(ValueError, match="dim_evento"):
+        silver._checked_commit(store, {"dim_evento": store.stage("dim_evento", dup)})
+    assert store.current_paths("dim_evento") == []
+    ok = spark.createDataFrame([(1, "e", "x" * 300, "u", now, now)], silver.DIM_EVENT)
+    silver._checked_commit(store, {"dim_evento": store.stage("dim_evento", ok)})
+    assert store.read("dim_evento").count() == 1
+
+
+def test_land_pages_and_run_job_feed_silver(spark):
+    root = tempfile.mkdtemp(prefix="strata-run-")
+    pages = landed(spark).selectExpr("kind", "page_key", "'' as url", "html", "dt")
+    bronze.land_pages(pages, root)
+    bronze.land_pages(pages.where("kind = 'fight'"), root)  # again: replaced, not doubled
+    assert bronze.read_pages(spark, root).count() == pages.count()
+    path = os.path.join(root, "runs")
+    batch, res = bronze.run_job(spark, bronze.read_pages(spark, root), root, path, full_load=True, dt="2024-06-02")
+    store = tables.VersionedTables(spark, os.path.join(root, "silver"))
+    counts = silver.load(spark, root, store, path, dt=batch["dt"], anchor=batch["dt"], now=dt.datetime(2024, 6, 2, 12),
+                         run_id=ledger.new_batch()["run_id"])
+    assert counts["historico_lutas"] == 10
+    audit = {r["stage"]: r["n_rows"] for r in rows(spark.read.parquet(os.path.join(root, "_audit")))}
+    assert audit["bronze_lutas"] == 2 and audit["silver_historico_lutas"] == 10
+    assert sorted((r["estagio"], r["tipo_carga"]) for r in rows(spark.read.parquet(path))) == [("bronze", "initial"), ("silver", "initial")]
 
 
 def test_ledger_decides_load_type(spark, root):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from strata.operators import dedupe, dims, facts, keys, loads, quality
 from strata.schemas import DIM_BONUS
-from strata.sources import ledger
+from strata.sources import ledger, tables
 
 
 def test_latest_per_key_and_null_key(spark):
@@ -122,22 +122,94 @@ def test_lookback_filter(spark):
     assert loads.lookback_filter(df, "status", "d", "2026-04-20", 30, full_load=True).count() == 5
 
 
-def test_incremental_scope_replace(spark):
-    ev = "id_evento long, status string, data_evento string, tag string"
+EV = "id_evento long, status string, data_evento string, tag string"
+
+
+def scope_case(spark):
     stored = {"eventos": spark.createDataFrame([(1, "completed", "01/01/2020", "old"), (2, "upcoming", None, "old"),
-                                                (3, "completed", "15/04/2026", "old"), (None, "x", None, "old")], ev),
+                                                (3, "completed", "15/04/2026", "old"), (None, "x", None, "old")], EV),
               "lutas": spark.createDataFrame([(1, "old"), (2, "old"), (3, "old"), (None, "old")], "id_evento long, tag string"),
               "historico_lutas": spark.createDataFrame([(2, "old")], "id_evento long, tag string"),
               "lutadores": spark.createDataFrame([(7, "old"), (8, "old")], "id_lutador long, tag string")}
-    batch = {"eventos": spark.createDataFrame([(3, "completed", "2026-04-15", "new")], ev),
-             "lutas": spark.createDataFrame([(3, "new")], "id_evento long, tag string"),
+    batch = {"eventos": spark.createDataFrame([(3, "completed", "2026-04-15", "new")], EV),
+             "lutas": spark.createDataFrame([(3, "new"), (None, "new")], "id_evento long, tag string"),
              "historico_lutas": spark.createDataFrame([(3, "new")], "id_evento long, tag string"),
              "lutadores": spark.createDataFrame([(8, "new")], "id_lutador long, tag string")}
-    out = loads.incremental_merge(stored, batch, anchor="2026-04-20", days=30)
-    assert sorted((r["id_evento"] or 0, r["tag"]) for r in rows(out["eventos"])) == [(0, "old"), (1, "old"), (3, "new")]
-    assert sorted((r["id_evento"] or 0, r["tag"]) for r in rows(out["lutas"])) == [(0, "old"), (1, "old"), (3, "new")]
-    assert sorted((r["id_evento"], r["tag"]) for r in rows(out["historico_lutas"])) == [(3, "new")]
-    assert sorted((r["id_lutador"], r["tag"]) for r in rows(out["lutadores"])) == [(7, "old"), (8, "new")]
+    return stored, batch
+
+
+def tags(df, col):
+    return sorted((r[col] or 0, r["tag"]) for r in rows(df))
+
+
+@pytest.mark.parametrize("width", [1, 2, 1 << 16])
+def test_incremental_scope_replace(spark, tmp_path, width):
+    stored, batch = scope_case(spark)
+    store = tables.VersionedTables(spark, str(tmp_path), width)
+    store.commit(store.stage_all(stored, loads.TABLE_IDS))
+    versions, _ = loads.stage_merge(store, batch, anchor="2026-04-20", days=30)
+    store.commit(versions)
+    assert tags(store.read("eventos"), "id_evento") == [(0, "old"), (1, "old"), (3, "new")]
+    assert tags(store.read("lutas"), "id_evento") == [(0, "new"), (0, "old"), (1, "old"), (3, "new")]
+    assert tags(store.read("historico_lutas"), "id_evento") == [(3, "new")]
+    assert tags(store.read("lutadores"), "id_lutador") == [(7, "old"), (8, "new")]
+
+
+def test_merge_leaves_parts_without_deleted_ids_alone(spark, tmp_path):
+    stored, batch = scope_case(spark)
+    store = tables.VersionedTables(spark, str(tmp_path), width=1)
+    store.commit(store.stage_all(stored, loads.TABLE_IDS))
+    before = {t: dict(store.parts(t)) for t in stored}
+    versions, written = loads.stage_merge(store, batch, anchor="2026-04-20", days=30)
+    store.commit(versions)
+    for t, kept in (("eventos", (1, store.NO_ID)), ("lutas", (1,)), ("lutadores", (7,))):
+        after = store.parts(t)
+        assert all((p, before[t][p]) in after for p in kept)
+        assert not {p for p, _ in written[t]} & set(kept)
+    assert len([p for p, _ in store.parts("lutas") if p == store.NO_ID]) == 2  # added to, not rewritten
+
+
+def test_second_of_two_loads_from_one_base_fails(spark, tmp_path):
+    store = tables.VersionedTables(spark, str(tmp_path))
+    base = store.seq()
+    store.commit({"t": store.stage("t", spark.range(3))}, base)
+    with pytest.raises(tables.ConcurrentCommit):
+        store.commit({"t": store.stage("t", spark.range(5))}, base)
+    assert store.read("t").count() == 3
+
+
+def test_contract_keeps_large_ids_and_refuses_to_lose_any(spark):
+    df = spark.createDataFrame([(3_000_000_000, "7"), (None, "x")], "id_evento long, n string")
+    got = rows(tables.to_contract(df, [("id_evento", "bigint"), ("n", "int")]))
+    assert got == [{"id_evento": 3_000_000_000, "n": 7}, {"id_evento": None, "n": None}]
+    with pytest.raises(Exception, match="CAST_OVERFLOW"):
+        tables.to_contract(df, [("id_evento", "int")]).collect()
+
+
+def test_first_keys_in_order_of_appearance(spark):
+    df = spark.createDataFrame([("b", 2), ("a", 3), ("b", 1), ("c", 9)], "k string, pos int")
+    assert [(r["k"], r["pos"]) for r in dedupe.first_keys(df, "k", ["pos"], 2).collect()] == [("b", 1), ("a", 3)]
+    assert dedupe.first_keys(df, "k", ["pos"]).count() == 3
+
+
+def test_shared_scratch_is_required_on_a_cluster():
+    from strata.session import ensure_checkpoint_dir, is_local
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+        getConf = staticmethod(Conf)
+
+    class Session:
+        sparkContext = Context
+
+    assert is_local("local") and is_local("local[8]") and not is_local("local-cluster[2,1,1024]")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session)
 
 
 def test_latest_run(spark):
@@ -151,12 +223,27 @@ def test_latest_run(spark):
         ledger.load_type_for(runs, "other-day")
 
 
-def test_quality_violations(spark):
-    df = spark.createDataFrame([(1, "a"), (1, "bbbb"), (2, None)], "k int, v string")
-    out = rows(quality.violations(df, key=["k"], unique=[["k"]], not_null=["v"], max_len={"v": 3}))
-    assert sorted((r["rule"], r["key_value"]) for r in out) == [("max_len", "1"), ("not_null", "2"), ("unique", "1")]
-    with pytest.raises(ValueError):
-        quality.assert_clean(df, key=["k"], unique=[["k"]])
+def test_latest_run_has_a_total_order(spark):
+    at = dt.datetime(2024, 1, 1)
+    runs = spark.createDataFrame([(r, "d", "initial", "s", "concluido", at, at) for r in ("r1", "r3", "r2")], ledger.LEDGER_SCHEMA)
+    assert ledger.latest_completed(runs).first()["run_id"] == "r3"
+
+
+def test_quality_violations(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (1, "bbbb"), (2, None), (None, "c")], "k int, v string")
+    out = rows(quality.violations(df, key=["k"], unique=[["k"]], not_null=["v"], max_len={"v": 3}, flag_null=["k"]))
+    assert sorted((r["rule"], r["key_value"]) for r in out) == [("max_len", "1"), ("not_null", "2"), ("null_id", "<null>"), ("unique", "1")]
+    rules = {"t": {"key": ["k"], "unique": [["k"]], "max_len": {"v": 3}, "flag_null": ["k"]}}
+    with pytest.raises(ValueError, match="2 data-quality violations"):
+        quality.enforce({"t": df}, rules, f"{tmp_path}/v")
+    assert spark.read.parquet(f"{tmp_path}/v").count() == 3  # all of them are kept
+    quality.enforce({"t": df.where("v = 'c'")}, rules, f"{tmp_path}/w")
+    assert [r["rule"] for r in rows(spark.read.parquet(f"{tmp_path}/w"))] == ["null_id"]
+
+
+def test_key_guard_drops_empty_text(spark):
+    df = spark.createDataFrame([("a",), ("",), (None,)], "k string")
+    assert [r["k"] for r in rows(quality.key_not_null(df, "k"))] == ["a"]
 
 
 def test_validate_name():

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strata.plans.catalog import EVENT_SCHEMA
 from strata.sources import partitions
-from strata.streaming.incremental import count_by_partition, run_available
+from strata.streaming.incremental import run_available, stream_partitions
 from conftest import SF_SMALL
 
 
@@ -18,35 +18,43 @@ def test_new_partitions_once(spark):
     partitions.write_partitions(ev.where(F.col("dt") < "2024-01-10"), base)
 
     def handle(batch, epoch):
-        count_by_partition(batch).withColumn("epoch", F.lit(epoch)).write.mode("append").parquet(sink)
+        batch.groupBy("dt_particao").agg(F.count(F.lit(1)).alias("rows")).withColumn("epoch", F.lit(epoch)).write.mode("append").parquet(sink)
 
-    run_available(spark, base, EVENT_SCHEMA, ckpt, handle)
+    run_available(stream_partitions(spark, base, EVENT_SCHEMA), ckpt, handle)
     first = spark.read.parquet(sink).agg(F.sum("rows")).first()[0]
     assert first == ev.where(F.col("dt") < "2024-01-10").count()
 
     partitions.write_partitions(ev.where(F.col("dt") >= "2024-01-10"), base)
-    run_available(spark, base, EVENT_SCHEMA, ckpt, handle)
+    run_available(stream_partitions(spark, base, EVENT_SCHEMA), ckpt, handle)
     seen = spark.read.parquet(sink)
     assert seen.agg(F.sum("rows")).first()[0] == ev.count()
     assert seen.groupBy("dt_particao").count().where("count > 1").count() == 0
 
 
-def test_stream_drives_silver_merge(spark):
+def test_stream_drives_silver_merge_and_refuses_late_days(spark):
     import datetime as dt
 
     from strata.plans import bronze
     from strata.sources import tables
-    from strata.streaming.incremental import silver_on_new_partitions
+    from strata.streaming.incremental import silver_on_new_runs
     from test_job import landed
 
     root = tempfile.mkdtemp(prefix="strata-stream-silver-")
-    bronze.run_bronze(spark, landed(spark), root, dt="2024-06-02", ingested_at="2024-06-02T10:00:00Z",
-                      full_load=True, anchor="2024-06-02")
+    runs, ckpt = os.path.join(root, "runs"), os.path.join(root, "ckpt")
+    pages = landed(spark)
     store = tables.VersionedTables(spark, os.path.join(root, "silver"))
-    ckpt = os.path.join(root, "ckpt")
     now = dt.datetime(2024, 6, 2, 12)
-    silver_on_new_partitions(spark, root, store, ckpt, anchor="2024-06-02", now=now)
-    assert store.read("historico_lutas").count() == 10
-    first = store.current_path("eventos")
-    silver_on_new_partitions(spark, root, store, ckpt, anchor="2024-06-02", now=now)  # nothing new
-    assert store.current_path("eventos") == first
+    # partitions without a ledger row are not complete: nothing is loaded
+    bronze.run_bronze(spark, pages, root, dt="2024-06-02", ingested_at="2024-06-02T10:00:00Z", full_load=True, anchor="2024-06-02")
+    bronze.run_job(spark, pages, root, runs, full_load=True, dt="2024-06-02")
+    silver_on_new_runs(spark, root, store, runs, ckpt, now=now)
+    assert store.read("historico_lutas").count() == 10 and store.read("eventos").count() == 4
+    first = store.current_paths("eventos")
+    silver_on_new_runs(spark, root, store, runs, ckpt, now=now)  # nothing new
+    assert store.current_paths("eventos") == first
+    # a late day would take the newer events of its scope for stale
+    late = pages.withColumn("dt", F.when(F.col("dt") == "2024-06-02", "2024-05-20").otherwise(F.col("dt"))).where("kind <> 'events_upcoming'")
+    bronze.run_job(spark, late, root, runs, full_load=False, dt="2024-05-20")
+    silver_on_new_runs(spark, root, store, runs, ckpt, now=now)
+    assert store.current_paths("eventos") == first
+    assert spark.read.parquet(runs).where("status = 'recusado' AND dt = '2024-05-20'").count() == 1

@@ -30,8 +30,7 @@ NOTES = {
     "label_value_pivot": "The pivot is array expressions inside each row: no exchange at all.",
     "ordered_union_limit": "Filters pushed into the Parquet scan; the ordered limit is `TakeOrderedAndProject` "
                            "(per-task top-n, then a merge of n rows per task).",
-    "page_table_extract": "The DOM rule runs in `mapInPandas` over Arrow batches; `spread` adds a round-robin "
-                          "exchange only because the test file has a single split.",
+    "page_table_extract": "Page rules are column expressions: a scan, one generate and projections, no exchange and no Python.",
 }
 
 
