@@ -23,9 +23,11 @@ import json
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from strata.llm.common import prepare
 from strata.llm.units import WHITE, UnitEncoder, id_bytes
@@ -112,7 +114,7 @@ class TrieBPE:
         out = {}
         ids, compatible, longest = self.ids, self.compatible, self.longest
         stable, lengths = self._stable, [len(b) for b in self.bytes]
-        if len(compatible) > 2_000_000:
+        if len(compatible) > 500_000:
             compatible.clear()
         before, last = b"", [-1]
         for word in sorted(words):
@@ -193,9 +195,6 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
 
 def encode(docs: DataFrame, path: str, out: str = "ids") -> DataFrame:
     """All rows with the ids of ``text`` added as ``out``, an array of integers (replacing that name)."""
-    from pyspark.sql import functions as F
-    import pandas as pd
-
     prepare(docs.sparkSession)
 
     @F.pandas_udf("array<int>")
