@@ -160,8 +160,10 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "quality",
     spark = documents.sparkSession
     kind = dict(documents.dtypes)["doc_id"]
     few = spark.createDataFrame(ids, f"doc_id {kind}, y int")  # at most 2 * max_rows rows
+    # one text for each id, also where rows repeat it
     rows = (documents.where(F.octet_length("text") <= max_bytes).select("doc_id", "text")
-            .join(F.broadcast(few), "doc_id").orderBy("doc_id", "text").collect())
+            .join(F.broadcast(few), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
+            .orderBy("doc_id").collect())
     return fit([(r["text"], r["y"]) for r in rows], counts)
 
 
