@@ -72,7 +72,8 @@ class TrieBPE:
         self.cut_special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.cut_words = regex.compile(WORDS)
         self.compatible: dict = {}
-        self.whole: dict = {}
+        self.checked = bytearray(size)  # 0: not yet, 1: a token's bytes encode to it, 2: they do not
+        self.packed = [i.to_bytes(4, "little") for i in range(size)]
 
     def _survives(self, a: int, b: int) -> bool:
         """Whether no merge across the boundary comes before those that made the tokens.
@@ -95,39 +96,44 @@ class TrieBPE:
                 return True
 
     def _stable(self, token: int) -> bool:
-        """Whether a token's own bytes encode to it."""
-        known = self.whole.get(token)
-        if known is None:
-            parts = [self.ids[bytes([x])] for x in self.bytes[token]]
-            while len(parts) > 1:
-                best = min((self.merged[p][0], i) for i, p in enumerate(zip(parts, parts[1:])) if p in self.merged) \
-                    if any(p in self.merged for p in zip(parts, parts[1:])) else None
-                if best is None:
-                    break
-                i = best[1]
-                parts[i:i + 2] = [self.merged[parts[i], parts[i + 1]][1]]
-            known = self.whole[token] = parts == [token]
-        return known
+        """Whether a token's own bytes encode to it: the merges in their order, one by one."""
+        parts = [self.ids[bytes([x])] for x in self.bytes[token]]
+        while len(parts) > 1:
+            best = min(((self.merged[p][0], i) for i, p in enumerate(zip(parts, parts[1:])) if p in self.merged), default=None)
+            if best is None:
+                break
+            i = best[1]
+            parts[i:i + 2] = [self.merged[parts[i], parts[i + 1]][1]]
+        return parts == [token]
 
     def encode_words(self, words: list) -> dict:
-        """ids (uint32 bytes) of each distinct word (bytes)."""
+        """ids (uint32 bytes) of each distinct word (bytes).
+
+        ``last`` and ``ids`` hold, for each prefix of the word at hand, its last token and its
+        whole encoding; what it shares with the word before stays.
+        """
         out = {}
-        ids, compatible, longest = self.ids, self.compatible, self.longest
-        stable, lengths = self._stable, [len(b) for b in self.bytes]
+        vocabulary, checked, compatible = self.ids, self.checked, self.compatible
+        longest, packed = self.longest, self.packed
         if len(compatible) > 500_000:
             compatible.clear()
-        before, last = b"", [-1]
+        before, last, ids = b"", [-1], [b""]
         for word in sorted(words):
             n, depth = len(word), 0
             most = min(n, len(before))
             while depth < most and word[depth] == before[depth]:
                 depth += 1
-            del last[depth + 1:]
+            del last[depth + 1:], ids[depth + 1:]
             for end in range(depth + 1, n + 1):
-                for start in range(max(0, end - longest), end):
-                    token = ids.get(word[start:end])
-                    if token is None or not stable(token):
+                for start in range(end - longest if end > longest else 0, end):
+                    token = vocabulary.get(word[start:end])
+                    if token is None:
                         continue
+                    if checked[token] != 1:
+                        if not checked[token]:
+                            checked[token] = 1 if self._stable(token) else 2
+                        if checked[token] == 2:
+                            continue
                     if start:
                         pair = (last[start], token)
                         fits = compatible.get(pair)
@@ -136,25 +142,29 @@ class TrieBPE:
                         if not fits:
                             continue
                     last.append(token)
+                    ids.append(ids[start] + packed[token])
                     break
-            found, at = [], n
-            while at:
-                found.append(last[at])
-                at -= lengths[last[at]]
-            out[word] = np.array(found[::-1], "<u4").tobytes()
+            out[word] = ids[n]
             before = word
         return out
 
+    def _cut(self, part: str) -> list:
+        """Words of a text as bytes; letters after one space are one word without asking the pattern."""
+        if part[:1] == " " and part[1:].isalpha() and max(part) < "\u0250":
+            return [part.encode()]
+        return [w.encode("utf-8", "replace") for w in self.cut_words.findall(part)]
+
     def encode_units(self, units: list) -> list:
         """ids (uint32 bytes) of each unit."""
         cut = []
         for unit in units:
-            parts = self.cut_special.split(unit) if self.cut_special and "<" in unit else [unit]
-            cut.append([p if p in self.special else [w.encode("utf-8", "replace") for w in self.cut_words.findall(p)]
-                        for p in parts if p])
+            if self.cut_special and "<" in unit:
+                cut.append([p if p in self.special else self._cut(p) for p in self.cut_special.split(unit) if p])
+            else:
+                cut.append([self._cut(unit)])
         known = self.encode_words({w for parts in cut for p in parts if isinstance(p, list) for w in p})
-        return [b"".join(np.array([self.special[p]], "<u4").tobytes() if isinstance(p, str)
-                         else b"".join(map(known.__getitem__, p)) for p in parts) for parts in cut]
+        return [b"".join([self.packed[self.special[p]] if isinstance(p, str) else b"".join(map(known.__getitem__, p))
+                          for p in parts]) for parts in cut]
 
     def decode(self, ids: list) -> str:
         return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
