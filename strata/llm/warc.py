@@ -56,25 +56,25 @@ def base32_sha1(payload: Column) -> Column:
 
 
 def roles(pages: DataFrame, min_bytes: int = MIN_REVISIT) -> DataFrame:
-    """(record, page_id, url, payload, digest, refers_to) of every page; refers_to: the record of its payload.
+    """(page_id, url, payload, digest, first, revisit) of every page; first: the page that holds a shared payload.
 
-    Only digests are compared and joined; the payload moves once, to its role by record number.
+    Digests alone are compared. The payloads move once, to their role: join and numbering
+    use one key, the hash of page id and digest.
     """
     with_digest = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"),
-        F.coalesce("html", F.lit("")).alias("payload")).withColumn("digest", base32_sha1(F.col("payload")))
-    small = written(with_digest.withColumn("bytes", F.octet_length("payload"))
-                    .select("page_id", "digest", "bytes"), "digests")
-    # one row for each page id and payload; the first page of a payload by id, null ids last
-    firsts = (small.where(F.col("bytes") >= min_bytes).groupBy("digest", "bytes")
+        F.coalesce("html", F.lit("")).alias("payload")).withColumn("digest", base32_sha1(F.col("payload"))).withColumn(
+        "k", F.xxhash64(F.col("page_id").isNull(), "page_id", "digest"))
+    small = written(with_digest.select("k", "page_id", "digest", F.octet_length("payload").alias("bytes")), "digests")
+    # the first page of a payload by id, null ids last; a payload on one row needs no role
+    firsts = (small.where(F.col("bytes") >= min_bytes).groupBy("digest")
               .agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1"))
-    again = (small.join(firsts, ["digest", "bytes"])
-             .select("page_id", "digest", "first").distinct())
-    joined = with_digest.join(
-        again.select(F.col("page_id").alias("_id"), F.col("digest").alias("_digest"), "first",
-                     F.lit(True).alias("shared")),
-        F.col("page_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")), "left")
-    return joined.select("page_id", "url", "payload", "digest", "first", F.coalesce("shared", F.lit(False)).alias("shared"))
+    shared = small.join(firsts, "digest").groupBy("k").agg(F.first("first").alias("first"), F.lit(True).alias("shared"))
+    # of rows that repeat the first page, one holds the payload
+    place = F.row_number().over(Window.partitionBy("k").orderBy("k"))
+    return with_digest.join(shared, "k", "left").withColumn("place", place).select(
+        "page_id", "url", "payload", "digest", "first",
+        (F.coalesce("shared", F.lit(False)) & ~(F.col("page_id").eqNullSafe(F.col("first")) & (F.col("place") == 1))).alias("revisit"))
 
 
 def _record(headers: list, block: bytes) -> bytes:
@@ -151,13 +151,8 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def write(pages: DataFrame, folder: str, min_bytes: int = MIN_REVISIT) -> None:
     """Write pages (page_id, url, html) as gzip-compressed WARC files."""
     prepare(pages.sparkSession)
-    given = roles(pages, min_bytes)
-    # the first page of a shared payload: if its id is on several rows, the one written first
-    alone = F.row_number().over(Window.partitionBy("page_id", "digest").orderBy("url")) == 1
-    candidates = given.where(F.col("shared") & F.col("page_id").eqNullSafe(F.col("first")))
-    others = given.where(~(F.col("shared") & F.col("page_id").eqNullSafe(F.col("first"))))
-    decided = candidates.withColumn("revisit", ~alone).unionAll(others.withColumn("revisit", F.col("shared")))
-    (decided.select("page_id", "url", F.when(~F.col("revisit"), F.col("payload")).alias("payload"), "digest", "first", "revisit")
+    (roles(pages, min_bytes)
+     .select("page_id", "url", F.when(~F.col("revisit"), F.col("payload")).alias("payload"), "digest", "first", "revisit")
      .mapInArrow(_records, "record binary").select(F.col("record").cast("string").alias("value"))
      .write.option("lineSep", END.decode()).option("compression", "gzip")
      .option("maxRecordsPerFile", RECORDS_A_FILE).text(folder))
@@ -188,25 +183,31 @@ def http_payload(block: bytes) -> bytes | None:
     return dechunked(body) if framed else body
 
 
-def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _parsed(segments: bool):
+    """Records of whole files: either those in segments or those in one piece."""
     names = ["record_id", "page_id", "url", "record_type", "digest", "refers_to", "origin", "number", "total", "block"]
     kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int32(),
              pa.int64(), pa.binary()]
     as_int = lambda v: int(v) if v else None
-    for batch in batches:
-        for content in batch.column("content"):
-            raw = content.as_py()
-            rows = []
-            for h, block in parse(zlib.decompress(raw, 47) if raw[:2] == b"\x1f\x8b" else raw):
-                number = as_int(h.get("warc-segment-number"))
-                name = h.get("warc-record-id")
-                origin = h.get("warc-segment-origin-id") or (name if number is not None else None)
-                rows.append((name, as_int(h.get("page-id")), h.get("warc-target-uri"), h["warc-type"],
-                             h.get("warc-payload-digest", "").removeprefix("sha1:") or None,
-                             as_int(h.get("refers-to-page-id")), origin, number,
-                             as_int(h.get("warc-segment-total-length")), block))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 10, kinds)],
-                                             names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content in batch.column("content"):
+                raw = content.as_py()
+                rows = []
+                for h, block in parse(zlib.decompress(raw, 47) if raw[:2] == b"\x1f\x8b" else raw):
+                    number = as_int(h.get("warc-segment-number"))
+                    if (number is not None) != segments:
+                        continue
+                    name = h.get("warc-record-id")
+                    rows.append((name, as_int(h.get("page-id")), h.get("warc-target-uri"), h["warc-type"],
+                                 h.get("warc-payload-digest", "").removeprefix("sha1:") or None,
+                                 as_int(h.get("refers-to-page-id")), h.get("warc-segment-origin-id") or name, number,
+                                 as_int(h.get("warc-segment-total-length")), block))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 10, kinds)], names=names)
+
+    return run
 
 
 def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,12 +233,12 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     of every response and revisit record under a folder; ``digest`` is the stated one, ``payload_digest`` that of the payload."""
     prepare(spark)
     files = spark.read.format("binaryFile").load(folder).select("content")
-    records = written(files.mapInArrow(
-        _parsed, "record_id string, page_id long, url string, record_type string, digest string, refers_to long, "
-                 "origin string, number int, total long, block binary"), "records")
+    schema = ("record_id string, page_id long, url string, record_type string, digest string, refers_to long, "
+              "origin string, number int, total long, block binary")
     head = ["record_id", "page_id", "url", "record_type", "digest", "refers_to"]
-    whole = records.where(F.col("origin").isNull()).select(*head, "block", F.lit(True).alias("whole"))
-    parts = records.where(F.col("origin").isNotNull())
+    # the archives are parsed once for either kind, so that whole records need not be kept anywhere
+    whole = files.mapInArrow(_parsed(False), schema).select(*head, "block", F.lit(True).alias("whole"))
+    parts = files.mapInArrow(_parsed(True), schema)
     grouped = parts.groupBy("origin").agg(
         F.sort_array(F.collect_list(F.struct("number", "block"))).alias("parts"), F.max("total").alias("total"),
         F.count("total").alias("ends"), F.max(F.when(F.col("number") == 1, F.struct(*head))).alias("head"))
