@@ -20,7 +20,7 @@ WHITE = "\t-\r \x85\xa0  -     　"
 _RUNS = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 # Where a single space does not start a unit: after other white space.
 _LOOSE = re.compile(f"[{WHITE}] ")
-CACHED = 500_000
+CACHED = 300_000
 LONGEST = 64
 
 
@@ -34,22 +34,24 @@ class _Known:
     def __init__(self) -> None:
         self.young: dict = {}
         self.old: dict = {}
+        self.long: list = []
 
     def missing(self, used: set) -> list:
-        young, old, out = self.young, self.old, []
-        for unit in used:
-            if unit not in young:
-                if unit in old:
-                    young[unit] = old[unit]
-                else:
-                    out.append(unit)
-        return out
+        """Units of ``used`` that have to be encoded; those of the old generation are taken over."""
+        new = used.difference(self.young)
+        kept = [u for u in new if u in self.old]
+        self.young.update(zip(kept, map(self.old.__getitem__, kept)))
+        return list(new.difference(kept)) if kept else list(new)
+
+    def learn(self, units: list, ids: list) -> None:
+        self.young.update(zip(units, ids))
+        self.long += [u for u in units if len(u) > LONGEST]
 
-    def settle(self, used: set) -> None:
+    def settle(self) -> None:
         """Forget what is long; change generations when the young one is full."""
-        for unit in used:
-            if len(unit) > LONGEST:
-                del self.young[unit]
+        for unit in self.long:
+            del self.young[unit]
+        self.long = []
         if len(self.young) > CACHED:
             self.old, self.young = self.young, {}
 
@@ -78,12 +80,12 @@ class UnitEncoder:
         for known, used, before in ((self.whole, whole, ""), (self.spaced, spaced, " ")):
             new = known.missing(used)
             if new:
-                known.young.update(zip(new, self.encode([before + u for u in new])))
+                known.learn(new, self.encode([before + u for u in new]))
         of_unit, of_word = self.whole.young.__getitem__, self.spaced.young.__getitem__
         out = [b"".join(map(of_unit, units)) if rest is None else of_unit(units[0]) + b"".join(map(of_word, rest))
                for units, rest in plans]
-        self.whole.settle(whole)
-        self.spaced.settle(spaced)
+        self.whole.settle()
+        self.spaced.settle()
         return out
 
 
