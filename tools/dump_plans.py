@@ -20,7 +20,7 @@ NOTES = {
                       "ships one row per map task. `Final` after the exchange, then the window.",
     "first_non_null": "Partial aggregation before the exchange (`min_by` with a null-skipping ordering), final "
                       "after: hot keys are combined map-side.",
-    "attach_ids": "Two left lookups. No hints: the dimensions are broadcast only because their estimated size "
+    "attach_ids": "Two left lookups. No hints: the dimensions are broadcast where their estimated size "
                   "is under `autoBroadcastJoinThreshold`; a large dimension becomes a sort-merge join, with AQE "
                   "skew splitting for hot keys on the fact side.",
     "nested_fact": "Duplicates per (order, line) are cut map-side before the first exchange, so each collected "
