@@ -28,19 +28,16 @@ def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """For 0..n-1 the smallest number reachable over the pairs (a, b)."""
     root = np.arange(n)
     while len(a):
-        low = np.minimum(root[a], root[b])
-        np.minimum.at(root, a, low)
-        np.minimum.at(root, b, low)
-        np.minimum.at(root, root[a], low)
-        np.minimum.at(root, root[b], low)
-        root = root[root]
+        ends, others = root[a], root[b]
+        low = np.minimum(ends, others)
+        np.minimum.at(root, ends, low)
+        np.minimum.at(root, others, low)
+        # up to the ends of all chains: only these may be hooked, or what hangs on them is lost
+        while (root[root] != root).any():
+            root = root[root]
         left = root[a] != root[b]
         a, b = a[left], b[left]
-    while True:
-        up = root[root]
-        if (up == root).all():
-            return root
-        root = up
+    return root
 
 
 def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

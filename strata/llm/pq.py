@@ -5,11 +5,10 @@
 2. *Index*, every vector: its list, its residual's codes, and the length of
    what the codes miss (its error).
 3. *Probes*: a vector probes every list whose border with its own list lies
-   within ``MARGIN``: a neighbour on the other side of the border is at least
-   that far. Of two lists the lower one's vectors probe the higher one, so that
-   each pair meets once. With the margin at the full link distance this would
-   be exact; a neighbour's offset spreads over all dimensions and crosses a
-   border by a small part of it, so ``SPREAD`` standard deviations are taken.
+   within the link distance: a neighbour on the other side of the border is at
+   least that far, so no link is missed, whatever the data's shape. Of two
+   lists the lower one's vectors probe the higher one, so that each pair meets
+   once.
 4. *Search*: squared distances to the codes by table look-up (one table a
    vector). Codes err by at most the stored error, so a vector is dropped only
    if its looked-up distance less its error exceeds the link distance; what
@@ -48,7 +47,6 @@ LIST_SIZE = 1024
 MAX_LISTS = 2048
 SAMPLE_A_LIST = 64
 MAX_SAMPLE = 32768
-SPREAD = 3.0
 BLOCK = 1024
 CHUNK = 4096
 _SEED = 7
@@ -69,7 +67,8 @@ class Model:
         return math.sqrt(max(0.0, 2 - 2 * self.cosine))
 
     def margin(self) -> float:
-        return min(1.0, SPREAD / math.sqrt(self.centroids.shape[1])) * self.distance
+        """How near a border must be for its other side to hold a neighbour."""
+        return self.distance + 1e-6
 
     def lists(self, x: np.ndarray) -> tuple:
         """(own list, whether each list is probed) of unit vectors."""

@@ -6,8 +6,9 @@ import pytest
 
 sys.path.insert(0, __file__.rsplit("/", 1)[0])
 from conftest import SF_SMALL  # noqa: E402
-from llm_helpers import vector_links  # noqa: E402
+from llm_helpers import Union, vector_links  # noqa: E402
 from strata.llm import pq  # noqa: E402
+from strata.llm.components import roots  # noqa: E402
 from strata.llm.queries import op8_pq_neardup  # noqa: E402
 
 
@@ -68,3 +69,30 @@ def test_looked_up_distance_errs_by_at_most_the_stored_error():
         true = np.sqrt(((x[:, None] - x[None, inside]) ** 2).sum(-1))
         assert (np.abs(looked - true) <= errors[inside][None, :] + 1e-9).all()
     assert not probed[np.arange(300), own].any()
+
+
+def test_every_link_across_many_lists_where_vectors_are_not_isotropic(spark, monkeypatch):
+    monkeypatch.setattr(pq, "LIST_SIZE", 50)
+    rng = np.random.default_rng(8)
+    spectrum = np.arange(1, 65) ** -1.5
+    x = pq._unit(rng.normal(size=(1000, 64)) * spectrum)
+    offset = rng.normal(size=(1000, 64)) * spectrum
+    offset -= (offset * x).sum(axis=1, keepdims=True) * x
+    y = pq._unit(x + 0.32 * pq._unit(offset))  # planted pairs at a cosine of 0.952
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([x, y]))]
+    want = vector_links(rows, 64)[0]
+    assert sum(n for _, n in want) >= 2000
+    got = pq.link(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted((r["vec_id"], r["n_links"]) for r in got) == sorted(want)
+    held(got, rows, 64)
+
+
+def test_roots_as_one_by_one():
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 40, 400):
+        for _ in range(50):
+            a, b = rng.integers(0, n, (2, n))
+            union = Union(range(n))
+            for pair in zip(a.tolist(), b.tolist()):
+                union.join(*pair)
+            assert roots(n, a, b).tolist() == [union.find(k) for k in range(n)]
