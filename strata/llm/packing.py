@@ -14,7 +14,8 @@
    (task, length) and their running sums are tables, not driver lists.
 
 The driver holds the histogram and the patterns, both bounded by ``WINDOW``,
-never a document or a piece. No ids are shuffled.
+never a document or a piece. The ids themselves go along as little-endian
+uint32 bytes; the checksum is taken of what arrives in the sequences.
 
 Defined results: a null or empty text is one piece of one token, the end id;
 rows are packed one by one, also when they repeat a doc_id or have none; an
@@ -23,7 +24,6 @@ empty table gives no pieces.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,10 +36,11 @@ from strata.llm.units import id_bytes, library_encoder
 
 WINDOW = 1024
 END = 0
+FLUSH = 4 << 20
 
 
 def pieces(docs: DataFrame, path: str, window: int = WINDOW, end: int = END) -> DataFrame:
-    """(doc_id, start, length, ids_crc32, doc_tokens, task, number) of every piece."""
+    """(doc_id, start, length, ids, doc_tokens, task, number) of every piece."""
     kind = dict(docs.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -49,7 +50,19 @@ def pieces(docs: DataFrame, path: str, window: int = WINDOW, end: int = END) ->
         close = np.array([end], "<u4").tobytes()
         seen = [0] * (window + 1)
         for batch in batches:
-            rows, starts, lengths, crcs, totals, numbers = [], [], [], [], [], []
+            rows, starts, lengths, ids, totals, numbers = [], [], [], [], [], []
+
+            def cut() -> pa.RecordBatch:
+                out = pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").take(pa.array(rows, pa.int64())), pa.array(starts, pa.int64()),
+                     pa.array(lengths, pa.int64()), pa.array(ids, pa.binary()), pa.array(totals, pa.int64()),
+                     pa.array([task] * len(rows), pa.int32()), pa.array(numbers, pa.int64())],
+                    names=["doc_id", "start", "length", "ids", "doc_tokens", "task", "number"])
+                for column in (rows, starts, lengths, ids, totals, numbers):
+                    column.clear()
+                return out
+
+            held = 0
             for i, raw in enumerate(id_bytes(encoder, batch.column("text"))):
                 raw += close
                 total = len(raw) // 4
@@ -58,18 +71,18 @@ def pieces(docs: DataFrame, path: str, window: int = WINDOW, end: int = END) ->
                     rows.append(i)
                     starts.append(start)
                     lengths.append(length)
-                    crcs.append(zlib.crc32(raw[4 * start:4 * (start + length)]))
+                    ids.append(raw[4 * start:4 * (start + length)])
                     totals.append(total)
                     numbers.append(seen[length])
                     seen[length] += 1
-            longs = [pa.array(x, pa.int64()) for x in (starts, lengths, crcs, totals, numbers)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(rows, pa.int64())), *longs[:4],
-                 pa.array([task] * len(rows), pa.int32()), longs[4]],
-                names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "task", "number"])
+                held += len(raw)
+                if held > FLUSH:
+                    yield cut()
+                    held = 0
+            yield cut()
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, task int, number long")
+        run, f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, task int, number long")
 
 
 def _triples(lengths: np.ndarray, window: int) -> np.ndarray:
@@ -182,7 +195,7 @@ def _slots(patterns: list) -> np.ndarray:
 
 
 def pack(docs: DataFrame, path: str, window: int = WINDOW, end: int = END) -> DataFrame:
-    """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset) of every piece."""
+    """(doc_id, start, length, ids, ids_crc32, doc_tokens, sequence_id, offset) of every piece."""
     prepare(docs.sparkSession)
     cut = written(pieces(docs, path, window, end), "pieces")
     counts = written(cut.groupBy("task", "length").agg(F.count("*").alias("n")), "piece-counts")
@@ -206,11 +219,13 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, end: int = END) -> Da
             at = np.searchsorted(keys, length * (1 << 48) + number, side="right") - 1
             sequence = slots[at, 2] + number - slots[at, 1]
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")],
+                [*[batch.column(c) for c in ("doc_id", "start", "length", "ids", "doc_tokens")],
                  pa.array(sequence), pa.array(slots[at, 3])],
-                names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
+                names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
 
     numbered = cut.join(offsets, ["task", "length"]).select(
-        "doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("number") + F.col("ahead")).alias("place"))
-    return numbered.mapInArrow(run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, "
-                                    "sequence_id long, offset long")
+        "doc_id", "start", "length", "ids", "doc_tokens", (F.col("number") + F.col("ahead")).alias("place"))
+    placed = numbered.mapInArrow(run, f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, "
+                                      "sequence_id long, offset long")
+    return placed.select("doc_id", "start", "length", "ids", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                         "sequence_id", "offset")

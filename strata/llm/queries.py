@@ -64,7 +64,8 @@ def op9_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer())
+    packed = packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer())
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
 QUERIES = {

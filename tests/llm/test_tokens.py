@@ -114,6 +114,19 @@ def test_packing(docs):
     assert packing.pack(docs.limit(0), PATH).collect() == []
 
 
+def test_packed_sequences_hold_the_ids(docs, monkeypatch):
+    monkeypatch.setattr(packing, "FLUSH", 3000)
+    by_doc, sizes = defaultdict(list), defaultdict(int)
+    for r in packing.pack(docs.where("doc_id <> 4"), PATH).collect():
+        held = np.frombuffer(r["ids"], "<u4").tolist()
+        assert len(held) == r["length"] and crc(held) == r["ids_crc32"]
+        by_doc[r["doc_id"]].append((r["start"], held))
+        sizes[r["sequence_id"]] += len(held)
+    assert max(sizes.values()) <= 1024
+    assert {d: sum((h for _, h in sorted(p)), []) for d, p in by_doc.items()} == {
+        r["doc_id"]: ids(r["text"]) + [0] for r in docs.where("doc_id <> 4").collect()}
+
+
 @pytest.mark.parametrize("seed, n, padding", [(1, 20000, 0.02), (2, 50, 0.2), (3, 1, 1e9)])
 def test_plan_uses_every_piece_once(seed, n, padding):
     histogram = np.bincount(np.random.default_rng(seed).integers(1, 1024, n), minlength=1025)
