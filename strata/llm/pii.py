@@ -10,7 +10,10 @@ by another of the same length.)
 Patterns are written with possessive quantifiers and start only where a run
 of their first class starts (or where the last match ended). They match what
 the plain greedy patterns match, in time linear in the text and without
-recursion on long runs.
+recursion on long runs. Where an IBAN ends cannot be read off its characters
+(a capital or numeric word may follow), so its pattern proposes beginnings only:
+of the prefixes that end with a word and pass mod-97 the one of its country's
+length is taken, else the longest.
 
 Kinds: ``email``, ``ip`` (parts up to 255), ``card`` (13 to 19 digits, Luhn),
 ``phone`` (9 to 15 digits); beyond these ``iban`` (mod-97) and ``secret``
@@ -57,11 +60,19 @@ KINDS = (
          ("card", "visa", "credit", "karte", "tarjeta", "carte")),
     Kind("phone", r"\+[0-9][ ().0-9-]+[0-9]", "[+]", 0.6, 0.0,
          ("phone", "call", "tel", "mobile", "fax")),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])", "[0-9]", 0.2, 0.6,
+    Kind("iban", r"(?<![A-Za-z0-9])(?=[A-Z]{2}[0-9]{2} ?[A-Z0-9])", "[0-9]", 0.2, 0.6,
          ("iban", "account", "konto", "cuenta", "compte", "bank"), base=False),
     Kind("secret", r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![A-Za-z0-9])", "[0-9]", 0.3, 0.0,
          ("token", "secret", "key", "password", "passwd", "credential"), base=False),
 )
+IBAN_RUN = "^[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}"
+IBAN_LONGEST = 2 * 34 - 1
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH CR HR LI LV",
+    22: "BG BH DE GB GE IE ME RS", 23: "AE GI IL IQ TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "PT", 26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC",
+}
 BASE = tuple(k.name for k in KINDS if k.base)
 
 
@@ -110,9 +121,6 @@ def _valid(kind: Kind, match: Column) -> Column:
         return F.when(F.length(digits).between(13, 19), luhn(digits)).otherwise(F.lit(False))
     if kind.name == "phone":
         return F.length(_digits(match)).between(9, 15)
-    if kind.name == "iban":
-        bare = F.translate(match, " ", "")
-        return F.when(F.length(bare).between(15, 34), mod97(bare)).otherwise(F.lit(False))
     return F.lit(True)
 
 
@@ -135,6 +143,46 @@ def _proposed(text: Column, kind: Kind) -> Column:
     return F.when(text.rlike(kind.needs), walked["found"]).otherwise(F.coalesce(none, F.array()))
 
 
+def _iban_length(head: Column) -> Column:
+    """The length of the IBAN that the text starts with, null without one."""
+    run = F.regexp_extract(head, IBAN_RUN, 0)
+    bare = lambda n: F.translate(F.left(run, n), " ", "")
+    usual = F.coalesce(*[F.when(F.left(head, F.lit(2)).isin(*codes.split()), n) for n, codes in IBAN_LENGTHS.items()])
+    ends = F.when(F.length(run) >= 15, F.filter(
+        F.sequence(F.length(run), F.lit(15)),  # longest first
+        lambda n: F.substring(run, n, 1).rlike("[A-Z0-9]") & ~F.substring(head, n + 1, 1).rlike("[A-Za-z0-9]")
+        & F.length(bare(n)).between(15, 34) & mod97(bare(n))))
+    return F.coalesce(F.try_element_at(F.filter(ends, lambda n: F.length(bare(n)) == usual), F.lit(1)),
+                      F.try_element_at(ends, F.lit(1)))
+
+
+def _ibans(text: Column, kind: Kind) -> Column:
+    """All IBANs as array of (start, end, match, before), each sought from every beginning by itself."""
+    pieces = F.split(F.regexp_replace(text, kind.pattern, MARK), MARK)
+    # beginnings are five characters apart or more, so what is read around one lies in a few pieces
+    near = -(-(IBAN_LONGEST + 1) // 5) + 1
+    none = F.lit(None).cast("array<struct<start:int,end:int,match:string,before:string>>")
+    heads = F.transform(pieces, lambda p: F.left(p, F.lit(IBAN_LONGEST + 1)))
+    seen = F.transform(pieces, lambda p, i: F.struct(
+        F.length(p).alias("n"), F.right(p, F.lit(CONTEXT)).alias("tail"),
+        F.left(F.array_join(F.slice(heads, i + 1, F.lit(near)), ""), F.lit(IBAN_LONGEST + 1)).alias("head"),
+        (i > 0).alias("begins")))
+    sized = F.transform(seen, lambda p: F.struct(
+        p["n"].alias("n"), p["tail"].alias("tail"), p["head"].alias("head"),
+        F.when(p["begins"], _iban_length(p["head"])).alias("size")))
+    walked = F.aggregate(
+        sized,
+        F.struct(F.lit(0).alias("at"), F.lit("").alias("before"), F.coalesce(none, F.array()).alias("found")),
+        lambda acc, p: F.struct(
+            (acc["at"] + p["n"]).alias("at"),
+            F.right(F.concat(acc["before"], p["tail"]), F.lit(CONTEXT)).alias("before"),
+            F.when(p["size"].isNotNull(), F.concat(acc["found"], F.array(F.struct(
+                acc["at"].alias("start"), (acc["at"] + p["size"]).alias("end"),
+                F.left(p["head"], p["size"]).alias("match"), acc["before"].alias("before")))))
+            .otherwise(acc["found"]).alias("found")))
+    return F.when(text.rlike(kind.needs), walked["found"]).otherwise(F.coalesce(none, F.array()))
+
+
 def _scored(kind: Kind, proposed: Column) -> Column:
     """Matches that hold, as array of (kind, start, end, score)."""
     kept = F.filter(proposed, lambda m: _valid(kind, m["match"]))
@@ -154,7 +202,7 @@ def find(docs: DataFrame, text: str = "text", out: str = "pii") -> DataFrame:
     found = {}
     for kind in KINDS:
         found[kind.name] = free_name(docs, f"_{kind.name}")
-        df = df.withColumn(found[kind.name], _proposed(F.col(clean), kind))
+        df = df.withColumn(found[kind.name], (_ibans if kind.name == "iban" else _proposed)(F.col(clean), kind))
     spans = F.concat(*[_scored(k, F.col(found[k.name])) for k in KINDS])
     return df.select(*columns, spans.alias(out))
 

@@ -60,3 +60,15 @@ def test_redaction_keeps_columns_nulls_and_the_rest_of_the_text(spark):
     got = [tuple(r) for r in pii.redact(df).orderBy("doc_id", "text").collect()]
     assert got == [(1, None, "x"), (2, "", "y"), (3, "clean", "z"), (3, "mail [EMAIL] or [IP]!", "z")]
     assert pii.redact(df.limit(0)).collect() == []
+
+
+def test_ibans_before_and_after_capital_and_number_words(spark):
+    de, short, gb = "DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32"
+    texts = [f"{de} BIC COBADEFFXXX", f"{short} I said", f"{short} 2024 due", f"pay {de} 2024 TO {gb} NOW", f"REF AB12 {de}, é",
+             f"{gb} {de}", f"AB12 {de} {gb} X1", f"{short}x {de}y", "AB12 " * 3000 + short, f"{short}\u0001 A", de + " 1" * 9]
+    want = [[de], [short], [short], [de, gb], [de], [gb, de], [de, gb], [], [short], [short], [de]]
+    got = found(spark, texts)
+    for i, text in enumerate(texts):
+        assert [text[a:b] for k, a, b in got[i] if k == "iban"] == want[i], text[:60]
+    df = spark.createDataFrame([(1, texts[0])], "doc_id long, text string")
+    assert "[IBAN] BIC COBADEFFXXX" == pii.redact(df).first()["text"]
