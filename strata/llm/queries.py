@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import fingerprint, neardup, packing, pii, pq, quality, sharding, tokenfile, triebpe, warc
 from strata.llm.common import table
+from strata.session import workspace_path
 
 
 def tokenizer() -> str:
@@ -60,7 +61,9 @@ def op8_pq_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.shard(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs, path = table(spark, sf_dir, "documents"), workspace_path(spark, "shards")
+    sharding.write(docs, path)
+    return sharding.read(spark, path, docs.schema).select("doc_id", "bytes", "depth", "prefix", "part", "shard_bytes")
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,3 +30,26 @@ def test_every_shard_fits_and_only_oversized_ones_split(spark):
         assert n <= 1000 or counts[prefix, part] == 1
         assert not prefix or prefixes[prefix[:-1]] > 1000
     assert sharding.shard(df.limit(0)).collect() == []
+
+
+def test_shards_are_written_with_all_columns_of_every_row(spark, tmp_path):
+    rows = [(7, "x" * 100, k) for k in range(50)] + [(None, None, 1), (None, "", 2), (2, "y" * 5000, 3)]
+    rows += [(i, "é" * (i % 90), i) for i in range(100, 900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, h long").selectExpr("*", "cast(h as string) as row")
+    sharding.write(df, f"{tmp_path}/s", 1000)
+    held = 0
+    for folder in sorted(p for p in (tmp_path / "s").iterdir() if p.is_dir()):
+        files = list(folder.glob("*.parquet"))
+        texts = [r["text"] or "" for r in spark.read.parquet(str(files[0])).select("text").collect()] if held < 20 else []
+        held += 1
+        assert len(files) == 1 and (sum(len(t.encode()) for t in texts) <= 1000 or len(texts) == 1)
+    got = sharding.read(spark, f"{tmp_path}/s", df.schema)
+    assert got.columns == ["doc_id", "text", "h", "row", *sharding.RESULT]
+    back = got.collect()
+    assert sorted((tuple(r)[:4] for r in back), key=repr) == sorted((tuple(r) for r in df.collect()), key=repr)
+    assert len({(r["prefix"], r["part"]) for r in back}) == held > 40
+    whole = sharding.shard(df, 1000).drop("part").collect()
+    assert sorted(tuple(r) for r in got.where("doc_id <> 7").drop("part").collect()) == sorted(
+        tuple(r) for r in whole if r["doc_id"] not in (7, None))
+    sharding.write(df.limit(0), f"{tmp_path}/none", 1000)
+    assert sharding.read(spark, f"{tmp_path}/none", df.schema).collect() == []
