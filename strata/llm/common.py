@@ -60,3 +60,13 @@ def whole_groups(batches, key: str):
         held = table_.slice(cut)
     if held is not None:
         yield held.combine_chunks()
+
+
+def by_key(table_, key: str):
+    """(key, rows) of each run of equal keys in a table sorted by ``key``."""
+    keys = table_.column(key).to_numpy()
+    begin = 0
+    for end in range(1, len(keys) + 1):
+        if end == len(keys) or keys[end] != keys[begin]:
+            yield keys[begin], table_.slice(begin, end - begin)
+            begin = end

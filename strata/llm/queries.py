@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import fingerprint, neardup, packing, pii, pq, quality, sharding, tokenfile, triebpe, warc
+from strata.llm import (collocations, fingerprint, neardup, packing, pii, pq, quality, search, sharding, tokenfile, triebpe,
+                        warc, weakrules)
 from strata.llm.common import table
 from strata.session import workspace_path
 
@@ -71,6 +72,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op11_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weakrules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"), carry=["doc_id"])
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+def op13_nra_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.rank(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_pii": op2_pii,
@@ -82,8 +95,13 @@ QUERIES = {
     "op8_pq_neardup": op8_pq_neardup,
     "op9_extendible_sharding": op9_extendible_sharding,
     "op10_packing": op10_packing,
+    "op11_weak_rules": op11_weak_rules,
+    "op12_collocations": op12_collocations,
+    "op13_nra_search": op13_nra_search,
 }
 
 ORACLES: dict = {
     "op9_extendible_sharding": sharding.ORACLE,
+    "op12_collocations": collocations.ORACLE,
+    "op13_nra_search": search.ORACLE,
 }
