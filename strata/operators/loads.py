@@ -3,7 +3,7 @@
 An incremental load replaces a *scope*: every event in the batch plus every
 stored event that was in scope (upcoming, or dated within the window) but is
 missing from the batch ("stale"). Deleting is a ``left_anti`` join of the
-stored parts that hold such ids; rows with a null event id are in a part of
+stored id ranges that hold such ids; rows with a null event id are in ranges of
 their own and survive, exactly as a SQL ``DELETE ... WHERE id IN (...)``
 leaves them.
 """
@@ -69,34 +69,25 @@ def deleted_ids(stored_events: DataFrame, batch_events: DataFrame, *, anchor: st
     return current.union(stale_ids(scope, current, EVENT_ID)).distinct()
 
 
-def stage_merge(store, batch: Mapping[str, DataFrame], *, anchor: str, days: int = 30) -> tuple[dict, dict]:
-    """Replace the batch's scope in the stored tables; returns (versions to commit, parts written), by table.
+def merge_frames(store, batch: Mapping[str, DataFrame], *, anchor: str, days: int = 30) -> dict[str, tuple]:
+    """What replacing the batch's scope makes of the stored tables: {table: (rows, touched ranges)}.
 
-    Event-keyed tables lose the deleted event ids, the person table the batch's
-    person ids; the batch is added. Only parts that hold such ids are read and
-    written again, all others stay as they are; rows without an id are never
-    deleted, so theirs is only added to. The part numbers on the driver are as
-    many as the scope has id ranges.
+    Event-keyed tables lose the deleted event ids, the person table the batch's person ids; the
+    batch is added. A range is touched if it holds a deleted id or gets a row. Only touched ranges
+    are read (the partitions of others are pruned); rows without an id are never deleted, so the
+    batch's are only added.
     """
     deleted = materialize(deleted_ids(store.read("eventos", batch["eventos"].schema), batch["eventos"],
                                       anchor=anchor, days=days), "delete-ids")
     people = materialize(distinct_ids(batch[PERSON_TABLE], PERSON_ID), "delete-people")
     gone = {**dict.fromkeys(EVENT_TABLES, deleted), PERSON_TABLE: people}
-    frames, untouched = {}, {}
-    numbers: dict = {}
+    out = {}
     for table, id_col in TABLE_IDS.items():
-        if id_col not in numbers:
-            numbers[id_col] = {r["p"] for r in gone[table].select(store.part_of(id_col).alias("p")).distinct().collect()}
-        parts = store.parts(table)
-        touched = [path for part, path in parts if part in numbers[id_col] or part == store.SCHEMA_ONLY]
-        untouched[table] = [(part, path) for part, path in parts if part not in numbers[id_col] and part != store.SCHEMA_ONLY]
-        frame = batch[table]
-        if touched:
-            stored = store.spark.read.schema(frame.schema).parquet(*touched)
-            frame = stored.join(gone[table], id_col, "left_anti").select(*frame.columns).unionByName(frame)
-        frames[table] = frame
-    written = store.stage_all(frames, TABLE_IDS)
-    return {t: untouched[t] + written[t] for t in frames}, written
+        new = batch[table]
+        touched = materialize(store.ranges(gone[table].unionByName(new.select(id_col)), id_col), f"ranges-{table}")
+        stored = store.read_ranges(table, touched, new.schema)
+        out[table] = (stored.join(gone[table], id_col, "left_anti").select(*new.columns).unionByName(new), touched)
+    return out
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -111,6 +102,22 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def full_load(batch: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """A full load is the batch itself; the sink overwrites every table."""
-    return dict(batch)
+def load(store, batch: Mapping[str, DataFrame], run: Mapping[str, object], *, full: bool, anchor: str, days: int = 30,
+         more: Mapping[str, tuple] | None = None, check=None) -> None:
+    """Load a batch as the run ``run``: the tables replaced by it (``full``), or its scope replaced in them.
+
+    ``more``: further staged tables of the same run, as ``commit`` takes them. ``check`` gets the
+    staged rows by table before anything stored is touched, and may raise.
+    """
+    staged, frames = dict(more or {}), {}
+    if full:
+        for table, df in batch.items():
+            frames[table] = store.stage(run["run_id"], table, df, TABLE_IDS[table])
+            staged[table] = ("table", df.schema)
+    else:
+        for table, (df, touched) in merge_frames(store, batch, anchor=anchor, days=days).items():
+            frames[table] = store.stage(run["run_id"], table, df, TABLE_IDS[table], touched)
+            staged[table] = ("ranges", df.schema)
+    if check:
+        check(frames)
+    store.commit(run, staged)

@@ -820,27 +820,36 @@ def _flatten_state(state) -> DataFrame:
     return out
 
 
-def _store_versions(spark, store: tables.VersionedTables, state) -> dict:
-    store.commit(store.stage_all(state, loads.TABLE_IDS))
-    return {name: store.read(name) for name in state}
+# Ids by partition in the load queries: some tens of ranges at the scale of the given tables.
+ID_RANGE = 1 << 14
+
+
+def _store(spark, name: str) -> tables.PartitionedTables:
+    return tables.PartitionedTables(spark, workspace_path(spark, name), width=ID_RANGE)
+
+
+def _run(load_type: str) -> dict:
+    batch = ledger.new_batch()
+    return {"run_id": batch["run_id"], "dt": batch["dt"], "tipo_carga": load_type, "iniciado_em": batch["started_at"]}
 
 
 def q_full_load(spark, sf):
-    """A full load of all rows replaces the versions of an earlier load."""
+    """A full load of all rows replaces what an earlier load stored."""
     stored, _ = _load_tables(spark, sf)
-    store = tables.VersionedTables(spark, workspace_path(spark, "silver-full"))
-    _store_versions(spark, store, stored)
+    store = _store(spark, "silver-full")
+    loads.load(store, stored, _run("initial"), full=True, anchor=ANCHOR_ORDERS)
     batch = {name: df.withColumn("tag", F.lit("full")) for name, df in stored.items()}
-    return _flatten_state(_store_versions(spark, store, loads.full_load(batch)))
+    loads.load(store, batch, _run("initial"), full=True, anchor=ANCHOR_ORDERS)
+    return _flatten_state({name: store.read(name, df.schema) for name, df in batch.items()})
 
 
 def q_incremental_merge(spark, sf):
+    """The batch's scope replaces stored and stale rows in the id ranges that hold them."""
     stored, batch = _load_tables(spark, sf)
-    store = tables.VersionedTables(spark, workspace_path(spark, "silver-incr"))
-    _store_versions(spark, store, stored)
-    versions, _ = loads.stage_merge(store, batch, anchor=ANCHOR_ORDERS, days=SCOPE_DAYS)
-    store.commit(versions)
-    return _flatten_state({name: store.read(name) for name in versions})
+    store = _store(spark, "silver-incr")
+    loads.load(store, stored, _run("initial"), full=True, anchor=ANCHOR_ORDERS)
+    loads.load(store, batch, _run("incremental"), full=False, anchor=ANCHOR_ORDERS, days=SCOPE_DAYS)
+    return _flatten_state({name: store.read(name, df.schema) for name, df in batch.items()})
 
 
 def _runs(spark, sf) -> DataFrame:

@@ -1,9 +1,9 @@
 """Silver job: bronze sets -> prepared tables -> dimensions -> ids -> facts -> load.
 
 Preparation (dedupe + rename + flatten) is lazy; dimension upserts are
-actions whose results are written *before* the facts read their ids, and
-the load writes every table as a new version that becomes current in one
-commit (``VersionedTables``), after data-quality checks.
+actions whose results are staged *before* the facts read their ids. All
+tables of a load are staged, checked, and then put in place as one run of
+the ledger (``PartitionedTables``).
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from strata.operators import dedupe, dims, facts, loads, quality
 from strata.schemas import (BIO, CAREER, CONTRACT_EVENTS, CONTRACT_FIGHTERS, CONTRACT_FIGHTS, CONTRACT_HISTORY,
                             DIM_BONUS, DIM_EVENT, DIM_FIGHT, DIM_FIGHTER, STAT_FIELDS)
 from strata.session import workspace_path
-from strata.sources import tables
+from strata.sources import ledger, tables
 
 
 # Constraints of the silver tables (keys, NOT NULL, text lengths), checked before each commit.
@@ -53,12 +53,10 @@ TABLE_RULES = {
 }
 
 
-def _checked_commit(store: tables.VersionedTables, staged: dict, base: int | None = None, written: dict | None = None) -> None:
-    """Check what was written of each table (unique keys: over the whole of it), keep all violations, commit if none blocks."""
-    frames = store.staged_frames(staged if written is None else written)
+def _check(store: tables.PartitionedTables, frames: dict) -> None:
+    """Check what is staged of each table; all violations are kept, and raise if one blocks."""
     path = os.path.join(store.root, "_violations", uuid.uuid4().hex[:12])
     quality.enforce(frames, {t: TABLE_RULES[t] for t in frames}, path)
-    store.commit(staged, base)
 
 
 def _tiebreak(df: DataFrame) -> list:
@@ -146,34 +144,32 @@ def fighter_candidates(fighters: DataFrame, fights: DataFrame) -> DataFrame:
     return dedupe.first_non_null(prof.unionByName(named), "fighter_id", ["nome_lutador", "url_perfil"], ["_src"])
 
 
-def build_dimensions(spark: SparkSession, store: tables.VersionedTables, events: DataFrame,
+def build_dimensions(store: tables.PartitionedTables, run_id: str, events: DataFrame,
                      fights: DataFrame, fighters: DataFrame, now) -> dict[str, DataFrame]:
-    """Upsert the four dimensions and commit them (facts then read committed ids)."""
-    cur_bonus = store.read("dim_bonus", DIM_BONUS)
-    bonus = dims.upsert_code_dimension(cur_bonus, fights.select("codigo_bonus"), "codigo_bonus", now)
+    """Upsert the four dimensions into the run's staging folder (facts then read the staged ids)."""
+    out = {}
 
-    cur_event = store.read("dim_evento", DIM_EVENT)
+    def stage(name: str, df: DataFrame) -> DataFrame:
+        out[name] = store.stage(run_id, name, df)
+        return out[name]
+
+    stage("dim_bonus", dims.upsert_code_dimension(store.read("dim_bonus", DIM_BONUS), fights.select("codigo_bonus"),
+                                                  "codigo_bonus", now))
     ev_cand = dedupe.first_per_key(quality.key_not_null(events, "event_id"), "event_id", _tiebreak(events) or ["event_id"])
     ev_cand = ev_cand.select("event_id", F.col("nome").alias("nome_evento"), "event_url")
-    dim_event = dims.upsert_dimension(cur_event, ev_cand, "event_id", "id_evento", ["nome_evento", "event_url"],
-                                      "changed", now, trim_compare={"nome_evento": True, "event_url": False})
-    staged = {"dim_bonus": store.stage("dim_bonus", bonus), "dim_evento": store.stage("dim_evento", dim_event)}
-    _checked_commit(store, staged)
-    dim_event = store.read("dim_evento")
+    dim_event = stage("dim_evento", dims.upsert_dimension(
+        store.read("dim_evento", DIM_EVENT), ev_cand, "event_id", "id_evento", ["nome_evento", "event_url"],
+        "changed", now, trim_compare={"nome_evento": True, "event_url": False}))
 
-    cur_fight = store.read("dim_luta", DIM_FIGHT)
     f_cand = dedupe.first_per_key(quality.key_not_null(fights, "fight_id"), "fight_id", _tiebreak(fights) or ["fight_id"])
     f_cand = facts.attach_ids(f_cand.select("fight_id", "event_id", "fight_url", "nome_evento"),
                               [(dim_event, "event_id", ["id_evento"])]).drop("event_id")
-    dim_fight = dims.upsert_dimension(cur_fight, f_cand, "fight_id", "id_luta", ["id_evento", "fight_url", "nome_evento"],
-                                      "always", now)
-    cur_fighter = store.read("dim_lutador", DIM_FIGHTER)
-    dim_fighter = dims.upsert_dimension(cur_fighter, fighter_candidates(fighters, fights), "fighter_id", "id_lutador",
-                                        ["nome_lutador", "url_perfil"], "changed", now,
-                                        trim_compare={"nome_lutador": True, "url_perfil": False})
-    _checked_commit(store, {"dim_luta": store.stage("dim_luta", dim_fight),
-                            "dim_lutador": store.stage("dim_lutador", dim_fighter)})
-    return {n: store.read(n) for n in ("dim_bonus", "dim_evento", "dim_luta", "dim_lutador")}
+    stage("dim_luta", dims.upsert_dimension(store.read("dim_luta", DIM_FIGHT), f_cand, "fight_id", "id_luta",
+                                            ["id_evento", "fight_url", "nome_evento"], "always", now))
+    stage("dim_lutador", dims.upsert_dimension(
+        store.read("dim_lutador", DIM_FIGHTER), fighter_candidates(fighters, fights), "fighter_id", "id_lutador",
+        ["nome_lutador", "url_perfil"], "changed", now, trim_compare={"nome_lutador": True, "url_perfil": False}))
+    return out
 
 
 def history_fact(fights_ids: DataFrame, dim_fight: DataFrame, dim_fighter: DataFrame) -> DataFrame:
@@ -190,14 +186,19 @@ def history_fact(fights_ids: DataFrame, dim_fight: DataFrame, dim_fighter: DataF
 
 
 def run_silver(spark: SparkSession, bronze_events: DataFrame, bronze_fights: DataFrame,
-               bronze_fighters: DataFrame, store: tables.VersionedTables, *, full: bool,
-               anchor: str, now, scope_days: int = 30) -> dict[str, int]:
-    """Prepare, upsert dimensions, attach ids, build the fact and load; returns the batch's rows by table."""
+               bronze_fighters: DataFrame, store: tables.PartitionedTables, *, full: bool,
+               anchor: str, now, scope_days: int = 30, run_id: str | None = None, dt: str = "") -> dict[str, int]:
+    """Prepare, upsert dimensions, attach ids, build the fact and load; returns the batch's rows by table.
+
+    A load that an earlier run left unfinished is finished first.
+    """
+    store.recover()
+    run = {"run_id": run_id or ledger.new_batch()["run_id"], "dt": dt, "iniciado_em": now,
+           "tipo_carga": "initial" if full else "incremental"}
     events = prepare_events(bronze_events)
     fights = loads.materialize(prepare_fights(bronze_fights), "silver-fights")  # feeds four dimension/fact branches
     fighters = prepare_fighters(bronze_fighters)
-    d = build_dimensions(spark, store, events, fights, fighters, now)
-    base = store.seq()
+    d = build_dimensions(store, run["run_id"], events, fights, fighters, now)
 
     events_ids = facts.attach_ids(events, [(d["dim_evento"], "event_id", ["id_evento"])])
     fights_ids = facts.attach_ids(fights, [(d["dim_evento"], "event_id", ["id_evento"]),
@@ -216,15 +217,12 @@ def run_silver(spark: SparkSession, bronze_events: DataFrame, bronze_fights: Dat
         path = workspace_path(spark, f"silver-{name}")
         counts[name] = tables.observed_write(df, name, path)["rows"]
         batch[name] = spark.read.schema(df.schema).parquet(path)
-    if full:
-        staged = written = store.stage_all(loads.full_load(batch), loads.TABLE_IDS)
-    else:
-        staged, written = loads.stage_merge(store, batch, anchor=anchor, days=scope_days)
-    _checked_commit(store, staged, base, written)
+    loads.load(store, batch, run, full=full, anchor=anchor, days=scope_days,
+               more={name: ("plain", df.schema) for name, df in d.items()}, check=lambda staged: _check(store, {**d, **staged}))
     return counts
 
 
-def load(spark: SparkSession, bronze_root: str, store: tables.VersionedTables, ledger_path: str, *,
+def load(spark: SparkSession, bronze_root: str, store: tables.PartitionedTables, ledger_path: str, *,
          dt: str | None, anchor: str, now, run_id: str, force: bool = False) -> dict[str, int]:
     """Silver job driven by the run ledger.
 
@@ -234,15 +232,15 @@ def load(spark: SparkSession, bronze_root: str, store: tables.VersionedTables, l
     events as stale and delete them, so it is refused unless ``force``.
     """
     from strata.plans.bronze import read_bronze
-    from strata.sources import ledger
     runs = spark.read.parquet(ledger_path)
     if not force:
         ledger.refuse_older(runs, dt)
     load_type = ledger.load_type_for(runs.where(F.col("estagio") != "silver"), dt)
     bronze = read_bronze(spark, bronze_root, dt)
     counts = run_silver(spark, bronze["eventos"], bronze["lutas"], bronze["lutadores"], store,
-                        full=(load_type == "initial"), anchor=anchor, now=now)
+                        full=(load_type == "initial"), anchor=anchor, now=now, run_id=run_id, dt=dt or "")
     ledger.record_audit(spark, os.path.join(bronze_root, "_audit"), run_id, dt or "",
                         {f"silver_{name}": n for name, n in counts.items()})
-    ledger.record_run(spark, ledger_path, run_id, dt or "", load_type, "silver", now)
+    if store.ledger_path != ledger_path:  # the tables' own ledger is not the jobs'
+        ledger.record_run(spark, ledger_path, run_id, dt or "", load_type, "silver", now)
     return counts

@@ -12,6 +12,7 @@ LEDGER_SCHEMA = ("run_id string, dt string, tipo_carga string, estagio string, s
                  "iniciado_em timestamp, concluido_em timestamp")
 AUDIT_SCHEMA = "run_id string, dt string, stage string, n_rows bigint, created_at timestamp"
 REFUSED = "recusado"
+PREPARED = "preparado"
 DONE = "concluido"
 
 
@@ -51,6 +52,14 @@ def load_type_for(runs: DataFrame, dt: str | None = None) -> str:
     return row["tipo_carga"]
 
 
+def prepared_only(runs: DataFrame, stage: str = "silver") -> DataFrame:
+    """Runs of a stage that were prepared but not completed: (run_id, dt, tipo_carga, iniciado_em)."""
+    mine = runs.where(F.col("estagio") == stage)
+    done = mine.where(F.col("status") == DONE).select("run_id")
+    return (mine.where(F.col("status") == PREPARED).join(done, "run_id", "left_anti")
+            .select("run_id", "dt", "tipo_carga", "iniciado_em"))
+
+
 def refuse_older(runs: DataFrame, dt: str | None) -> None:
     """Raise if ``dt`` is older than the newest completed silver load.
 

@@ -1,24 +1,25 @@
-"""Table sinks: typed output contracts, schema evolution, versioned writes.
+"""Table sinks: typed output contracts, schema evolution, tables partitioned by id range.
 
-Parquet tables cannot be overwritten while they are being read, and have no
-MERGE. A load therefore writes new parts of each table to *new directories*,
-checks them, and then appends to a small ``_versions`` table which parts are
-current. Readers resolve the newest committed version, so they never observe a
-half-written load, and a failed load leaves the previous version current.
+Parquet has no MERGE and no transactions over several tables. A load is therefore
+written whole to a staging folder first; a ledger row then says that it is prepared,
+its partitions replace the tables' (dynamic partition overwrite), and a second ledger
+row says that it is complete. A load that died in between is finished by the next one
+from its staging folder, so a table is never left with half of a load for good.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
-import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, LongType, StructField, StructType
 
 from strata.functions.dates import to_ddmmyyyy
+from strata.sources import ledger
 
 _NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
@@ -91,112 +92,144 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-class ConcurrentCommit(RuntimeError):
-    """Another load committed after this one read its base version."""
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system, if it is there."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-class VersionedTables:
-    """Tables stored as immutable parts plus a ``_versions`` commit log.
+def with_default(name: str, dtype: DataType, default: str | None = None) -> StructField:
+    """A column that was added later: rows of older files have ``default`` (an SQL literal; none: null)."""
+    return StructField(name, dtype, True, {} if default is None else {"CURRENT_DEFAULT": default, "EXISTS_DEFAULT": default})
 
-    A version of a table is the list of its parts. Tables with an id are cut into
-    parts by ranges of ``width`` ids (rows without an id: a part of their own), so a
-    load can write new parts for the ranges that it touches and name the others
-    again. Ids are sequential, hence recent events share few ranges.
+
+class PartitionedTables:
+    """Parquet tables under ``root``, those with an id partitioned by ranges of ``width`` ids.
+
+    Ids are sequential, so what a load replaces lies in few ranges: reads prune to them and only
+    they are written again. Rows without an id are never replaced; each load keeps its own in a
+    partition of their own (a negative range). Loads of one ``root`` follow one another.
     """
 
-    NO_ID = -1          # part of the rows without an id
-    SCHEMA_ONLY = -2    # empty part that carries the schema
+    RANGE = "faixa_id"
 
-    def __init__(self, spark: SparkSession, root: str, width: int = 1 << 16):
+    def __init__(self, spark: SparkSession, root: str, ledger_path: str | None = None, width: int = 1 << 22):
         self.spark = spark
         self.root = root
         self.width = width
-        self.log_path = os.path.join(root, "_versions")
-
-    def _fs(self, path: str):
-        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
-
-    def _log(self) -> DataFrame | None:
-        """The commit log, or None before the first commit (checked, not caught)."""
-        if not path_exists(self.spark, self.log_path):
-            return None
-        return self.spark.read.parquet(self.log_path)
-
-    def seq(self) -> int:
-        """Number of the last commit; 0 before the first."""
-        log = self._log()
-        return 0 if log is None else log.agg(F.max("seq").alias("m")).first()["m"]
-
-    def parts(self, table: str) -> list[tuple[int, str]]:
-        """(part, path) of the current version: as many rows as the table has id ranges."""
-        log = self._log()
-        if log is None:
-            return []
-        own = log.where(F.col("table_name") == table)
-        last = own.agg(F.max("seq").alias("seq"))
-        return sorted((r["part"], r["path"]) for r in own.join(last, "seq").select("part", "path").collect())
-
-    def current_paths(self, table: str) -> list[str]:
-        return [path for _, path in self.parts(table)]
+        self.ledger_path = ledger_path or os.path.join(root, "_runs")
+
+    def path(self, table: str) -> str:
+        return os.path.join(self.root, table)
+
+    def runs(self) -> DataFrame:
+        if not path_exists(self.spark, self.ledger_path):
+            return self.spark.createDataFrame([], ledger.LEDGER_SCHEMA)
+        return self.spark.read.schema(ledger.LEDGER_SCHEMA).parquet(self.ledger_path)
+
+    # ---- reading
 
     def read(self, table: str, schema: StructType | None = None) -> DataFrame:
-        paths = self.current_paths(table)
-        if not paths:
+        """A table's rows. With ``schema`` columns that a file lacks have their default (see ``with_default``)
+        and columns that it does not name are not read; without, the schema is that of all files together."""
+        return self._read(self.path(table), table, schema).drop(self.RANGE)
+
+    def _read(self, path: str, table: str, schema: StructType | None) -> DataFrame:
+        if not path_exists(self.spark, path):
             if schema is None:
-                raise FileNotFoundError(f"table {table!r} has no committed version")
+                raise FileNotFoundError(f"table {table!r} does not exist")
             return empty_like(self.spark, schema)
-        return self.spark.read.parquet(*paths)
+        if schema is None:
+            return self.spark.read.option("mergeSchema", "true").parquet(path)
+        return self.spark.read.schema(StructType([*schema.fields, StructField(self.RANGE, LongType())])).parquet(path)
+
+    def ranges(self, df: DataFrame, id_col: str) -> DataFrame:
+        """The distinct ranges of the ids of ``df`` (rows without an id have none)."""
+        return (df.select(F.floor(F.col(id_col) / self.width).cast("bigint").alias(self.RANGE))
+                .where(F.col(self.RANGE) >= 0).distinct())
 
-    def part_of(self, id_col: str) -> Column:
-        """The part that an id's row is in."""
-        return F.coalesce(F.floor(F.col(id_col) / self.width).cast("bigint"), F.lit(self.NO_ID).cast("bigint"))
+    def read_ranges(self, table: str, ranges: DataFrame, schema: StructType) -> DataFrame:
+        """A table's rows in ``ranges``; the partitions of all others are pruned when the join runs."""
+        stored = self._read(self.path(table), table, schema)
+        if self.RANGE not in stored.columns:
+            return stored
+        return stored.join(F.broadcast(ranges.where(F.col(self.RANGE) >= 0)), self.RANGE, "left_semi").drop(self.RANGE)
 
-    def stage(self, table: str, df: DataFrame, id_col: str | None = None) -> list[tuple[int, str]]:
-        """Write new, not yet visible parts; returns (part, path) of each.
+    # ---- a load: stage, commit (ledger row, overwrite, ledger row)
 
-        Without ``id_col`` the table is one part. With it, rows are dealt to parts by id; AQE
-        evens out the writing tasks (a large part is written by several).
+    def _staging(self, run_id: str, *names: str) -> str:
+        return os.path.join(self.root, "_staging", f"run={run_id}", *names)
+
+    def stage(self, run_id: str, table: str, df: DataFrame, id_col: str | None = None,
+              touched: DataFrame | None = None) -> DataFrame:
+        """Write what a load makes of a table to its staging folder; returns the rows written.
+
+        Without ``touched`` they are the whole new table. With it (ranges) they are the whole new
+        content of those ranges and of the load's rows without an id. AQE evens out the tasks that write.
         """
-        path = os.path.join(self.root, table, f"v={uuid.uuid4().hex}")
+        path = self._staging(run_id, table)
+        if touched is not None:
+            touched.write.mode("overwrite").parquet(self._staging(run_id, "_touched", table))
         if id_col is None:
-            df.write.mode("errorifexists").parquet(path)
-            return [(0, path)]
-        empty = os.path.join(path, "empty")
-        df.limit(0).write.parquet(empty)
-        dealt = os.path.join(path, "parts")
-        (df.withColumn("_part", self.part_of(id_col)).hint("rebalance", "_part")
-         .write.partitionBy("_part").parquet(dealt))
-        fs, p = self._fs(dealt)
-        found = [str(f.getPath().getName()) for f in fs.listStatus(p) if f.isDirectory()]
-        return [(self.SCHEMA_ONLY, empty)] + sorted((int(n.split("=")[1]), os.path.join(dealt, n)) for n in found if "=" in n)
-
-    def stage_all(self, frames: Mapping[str, DataFrame], ids: Mapping[str, str] | None = None) -> dict[str, list]:
-        """Stage several tables at once: independent write jobs submitted concurrently."""
-        from concurrent.futures import ThreadPoolExecutor
-        ids = ids or {}
-        with ThreadPoolExecutor(max_workers=max(1, min(4, len(frames)))) as pool:
-            futures = {name: pool.submit(self.stage, name, df, ids.get(name)) for name, df in frames.items()}
-            return {name: f.result() for name, f in futures.items()}
-
-    def staged_frames(self, staged: Mapping[str, list]) -> dict[str, DataFrame]:
-        return {t: self.spark.read.parquet(*[path for _, path in parts]) for t, parts in staged.items()}
-
-    def commit(self, staged: Mapping[str, list], base: int | None = None) -> None:
-        """Make the staged parts the current versions, as commit ``base + 1`` (default: after the last one).
-
-        The commit's number is claimed by creating a file that must not exist, so of two loads
-        that started from one base the second fails and nothing of it becomes visible.
+            df.write.mode("overwrite").parquet(path)
+        else:
+            own = -1 - self.runs().where((F.col("estagio") == "silver") & (F.col("status") == ledger.PREPARED)).count()
+            at = F.coalesce(F.floor(F.col(id_col) / self.width), F.lit(own)).cast("bigint")
+            (df.withColumn(self.RANGE, at).hint("rebalance", self.RANGE).write.mode("overwrite")
+             .option("partitionOverwriteMode", "static").partitionBy(self.RANGE).parquet(path))
+        return self.staged(run_id, table, df.schema)
+
+    def staged(self, run_id: str, table: str, schema: StructType) -> DataFrame:
+        """What a load has staged of a table."""
+        return self.spark.read.schema(schema).parquet(self._staging(run_id, table))
+
+    def commit(self, run: Mapping[str, object], staged: Mapping[str, tuple]) -> None:
+        """Put a staged load in place: ``staged`` has the kind (``table``, ``ranges`` or ``plain``) and the schema of each table.
+
+        The first ledger row makes the load one that will be finished, by this call or by ``recover``.
         """
-        seq = (self.seq() if base is None else base) + 1
-        fs, claim = self._fs(os.path.join(self.root, "_commits", f"{seq:012d}"))
-        fs.mkdirs(claim.getParent())
-        if not fs.createNewFile(claim):
-            raise ConcurrentCommit(f"commit {seq} is taken; read the tables again and repeat the load")
-        rows = [(t, part, path, seq) for t, parts in staged.items() for part, path in parts]
-        (self.spark.createDataFrame(rows, "table_name string, part long, path string, seq long")
-         .withColumn("committed_at", F.current_timestamp())
-         .coalesce(1).write.mode("append").parquet(self.log_path))
+        rows = [(t, kind, schema.json()) for t, (kind, schema) in staged.items()]
+        (self.spark.createDataFrame(rows, "table_name string, kind string, columns string")
+         .coalesce(1).write.mode("overwrite").parquet(self._staging(run["run_id"], "_tables")))
+        self._record(run, ledger.PREPARED)
+        self._finish(run)
+
+    def recover(self) -> list[str]:
+        """Finish loads that were prepared but not completed; returns their run ids."""
+        unfinished = ledger.prepared_only(self.runs()).orderBy("iniciado_em", "run_id").collect()
+        for run in unfinished:
+            self._finish(run.asDict())
+        return [r["run_id"] for r in unfinished]
+
+    def _record(self, run: Mapping[str, object], status: str) -> None:
+        ledger.record_run(self.spark, self.ledger_path, run["run_id"], run["dt"], run["tipo_carga"], "silver",
+                          run["iniciado_em"], status)
+
+    def _finish(self, run: Mapping[str, object]) -> None:
+        tables_ = self.spark.read.parquet(self._staging(run["run_id"], "_tables")).collect()
+        for t in sorted(tables_, key=lambda r: r["table_name"]):
+            self._apply(run["run_id"], t["table_name"], t["kind"], StructType.fromJson(json.loads(t["columns"])))
+        self._record(run, ledger.DONE)
+        remove(self.spark, self._staging(run["run_id"]))
+
+    def _apply(self, run_id: str, table: str, kind: str, schema: StructType) -> None:
+        """Replace a table, or its touched ranges, by what is staged; doing so twice changes nothing."""
+        path = self._staging(run_id, table)
+        if kind == "plain":
+            self.spark.read.schema(schema).parquet(path).write.mode("overwrite").parquet(self.path(table))
+            return
+        staged = self._read(path, table, schema)
+        mode = "static" if kind == "table" else "dynamic"
+        (staged.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(self.RANGE)
+         .parquet(self.path(table)))
+        if kind == "ranges":
+            # a range that lost all its rows is not among the staged ones: its partition is emptied
+            touched = self.spark.read.parquet(self._staging(run_id, "_touched", table))
+            emptied = touched.join(staged.select(self.RANGE).distinct(), self.RANGE, "left_anti").collect()
+            for row in emptied:
+                at = os.path.join(self.path(table), f"{self.RANGE}={row[self.RANGE]}")
+                if path_exists(self.spark, at):
+                    empty_like(self.spark, schema).write.mode("overwrite").parquet(at)
 
 
 def observed_write(df: DataFrame, name: str, path: str, fmt: str = "parquet",

@@ -75,7 +75,7 @@ def _silver(spark, root, store, full):
 
 
 def test_silver_full_then_incremental(spark, root, bronze_result):
-    store = tables.VersionedTables(spark, os.path.join(root, "silver"))
+    store = tables.PartitionedTables(spark, os.path.join(root, "silver"))
     counts = _silver(spark, root, store, full=True)
     assert counts == {"eventos": 4, "lutas": 2, "lutadores": 1, "historico_lutas": 10}
     hist = rows(store.read("historico_lutas"))
@@ -134,15 +134,16 @@ def test_limits_are_for_full_loads_only(spark):
 
 
 def test_duplicate_natural_key_blocks_the_commit(spark):
-    store = tables.VersionedTables(spark, tempfile.mkdtemp(prefix="strata-dup-"))
+    store = tables.PartitionedTables(spark, tempfile.mkdtemp(prefix="strata-dup-"))
     now = dt.datetime(2024, 1, 1)
     dup = spark.createDataFrame([(1, "e", "a", "u", now, now), (2, "e", "b", "u", now, now)], silver.DIM_EVENT)
     with pytest.raises(ValueError, match="dim_evento"):
-        silver._checked_commit(store, {"dim_evento": store.stage("dim_evento", dup)})
-    assert store.current_paths("dim_evento") == []
-    ok = spark.createDataFrame([(1, "e", "x" * 300, "u", now, now)], silver.DIM_EVENT)
-    silver._checked_commit(store, {"dim_evento": store.stage("dim_evento", ok)})
-    assert store.read("dim_evento").count() == 1
+        silver._check(store, {"dim_evento": store.stage("r1", "dim_evento", dup)})
+    assert store.read("dim_evento", silver.DIM_EVENT).count() == 0 and store.recover() == []
+    ok = store.stage("r2", "dim_evento", spark.createDataFrame([(1, "e", "x" * 300, "u", now, now)], silver.DIM_EVENT))
+    silver._check(store, {"dim_evento": ok})
+    store.commit({"run_id": "r2", "dt": "", "tipo_carga": "initial", "iniciado_em": now}, {"dim_evento": ("plain", ok.schema)})
+    assert store.read("dim_evento").count() == 1 and not os.path.exists(os.path.join(store.root, "_staging", "run=r2"))
 
 
 def test_land_pages_and_run_job_feed_silver(spark):
@@ -153,7 +154,7 @@ def test_land_pages_and_run_job_feed_silver(spark):
     assert bronze.read_pages(spark, root).count() == pages.count()
     path = os.path.join(root, "runs")
     batch, res = bronze.run_job(spark, bronze.read_pages(spark, root), root, path, full_load=True, dt="2024-06-02")
-    store = tables.VersionedTables(spark, os.path.join(root, "silver"))
+    store = tables.PartitionedTables(spark, os.path.join(root, "silver"))
     counts = silver.load(spark, root, store, path, dt=batch["dt"], anchor=batch["dt"], now=dt.datetime(2024, 6, 2, 12),
                          run_id=ledger.new_batch()["run_id"])
     assert counts["historico_lutas"] == 10
@@ -207,7 +208,7 @@ def test_ledger_driven_silver_load(spark):
                       full_load=True, anchor="2024-06-02")
     path = os.path.join(root, "ledger2")
     ledger.record_run(spark, path, "b1", "2024-06-02", "initial", "bronze", dt.datetime(2024, 6, 2, 9))
-    store = tables.VersionedTables(spark, os.path.join(root, "silver2"))
+    store = tables.PartitionedTables(spark, os.path.join(root, "silver2"))
     now = dt.datetime(2024, 6, 2, 12)
     counts = silver.load(spark, root, store, path, dt="2024-06-02", anchor="2024-06-02", now=now, run_id="s1")
     assert counts["historico_lutas"] == 10

@@ -1,6 +1,7 @@
 """Operator fixtures: small frames in, the rule's expected rows out."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -142,40 +143,102 @@ def tags(df, col):
     return sorted((r[col] or 0, r["tag"]) for r in rows(df))
 
 
-@pytest.mark.parametrize("width", [1, 2, 1 << 16])
+def a_run(kind):
+    b = ledger.new_batch()
+    return {"run_id": b["run_id"], "dt": b["dt"], "tipo_carga": kind, "iniciado_em": b["started_at"]}
+
+
+def stored_store(spark, path, stored, width=1 << 16):
+    store = tables.PartitionedTables(spark, str(path), width=width)
+    loads.load(store, stored, a_run("initial"), full=True, anchor="2026-04-20")
+    return store
+
+
+def merged(store):
+    return {t: tags(store.read(t), c) for t, c in loads.TABLE_IDS.items()}
+
+
+MERGED = {"eventos": [(0, "old"), (1, "old"), (3, "new")], "lutas": [(0, "new"), (0, "old"), (1, "old"), (3, "new")],
+          "historico_lutas": [(3, "new")], "lutadores": [(7, "old"), (8, "new")]}
+
+
+@pytest.mark.parametrize("width", [1, 1 << 16])
 def test_incremental_scope_replace(spark, tmp_path, width):
     stored, batch = scope_case(spark)
-    store = tables.VersionedTables(spark, str(tmp_path), width)
-    store.commit(store.stage_all(stored, loads.TABLE_IDS))
-    versions, _ = loads.stage_merge(store, batch, anchor="2026-04-20", days=30)
-    store.commit(versions)
-    assert tags(store.read("eventos"), "id_evento") == [(0, "old"), (1, "old"), (3, "new")]
-    assert tags(store.read("lutas"), "id_evento") == [(0, "new"), (0, "old"), (1, "old"), (3, "new")]
-    assert tags(store.read("historico_lutas"), "id_evento") == [(3, "new")]
-    assert tags(store.read("lutadores"), "id_lutador") == [(7, "old"), (8, "new")]
+    store = stored_store(spark, tmp_path, stored, width)
+    loads.load(store, batch, a_run("incremental"), full=False, anchor="2026-04-20", days=30)
+    assert merged(store) == MERGED
+    assert [r["status"] for r in store.runs().orderBy("concluido_em").collect()] == ["preparado", "concluido"] * 2
+    # a full load after it leaves nothing of either
+    loads.load(store, batch, a_run("initial"), full=True, anchor="2026-04-20")
+    assert tags(store.read("eventos"), "id_evento") == [(3, "new")]
+
 
+def part_files(store, table):
+    out = {}
+    for folder, _, names in os.walk(store.path(table)):
+        if "=" in os.path.basename(folder):
+            out[int(folder.rsplit("=")[1])] = sorted(n for n in names if n.endswith(".parquet"))
+    return out
 
-def test_merge_leaves_parts_without_deleted_ids_alone(spark, tmp_path):
+
+def test_merge_leaves_ranges_without_deleted_ids_alone(spark, tmp_path):
+    stored, batch = scope_case(spark)
+    store = stored_store(spark, tmp_path, stored, width=1)
+    before = {t: part_files(store, t) for t in stored}
+    loads.load(store, batch, a_run("incremental"), full=False, anchor="2026-04-20", days=30)
+    for t, kept, gone in (("eventos", (1, -1), (2, 3)), ("lutas", (1, -1), (2, 3)), ("lutadores", (7,), (8,))):
+        after = part_files(store, t)
+        assert all(after[p] == before[t][p] for p in kept) and not any(after[p] == before[t][p] for p in gone)
+    assert -2 in part_files(store, "lutas")  # the batch's rows without an id: a partition of their own
+
+
+@pytest.mark.parametrize("dies_at", ["between", "after", "second_try"])
+def test_a_load_that_died_is_finished_by_the_next(spark, tmp_path, monkeypatch, dies_at):
+    """Died between tables, before the last ledger row, or again while being finished."""
+    stored, batch = scope_case(spark)
+    store = stored_store(spark, tmp_path, stored, width=1)
+    apply, record = tables.PartitionedTables._apply, tables.PartitionedTables._record
+    calls = []
+
+    def dying_apply(self, run_id, table, *rest):
+        calls.append(table)
+        if dies_at != "after" and len(calls) > 2:
+            raise RuntimeError("lost")
+        apply(self, run_id, table, *rest)
+
+    def dying_record(self, run, status):
+        if dies_at == "after" and status == ledger.DONE:
+            raise RuntimeError("lost")
+        record(self, run, status)
+
+    monkeypatch.setattr(tables.PartitionedTables, "_apply", dying_apply)
+    monkeypatch.setattr(tables.PartitionedTables, "_record", dying_record)
+    run = a_run("incremental")
+    with pytest.raises(RuntimeError, match="lost"):
+        loads.load(store, batch, run, full=False, anchor="2026-04-20", days=30)
+    if dies_at == "second_try":
+        calls.clear()
+        with pytest.raises(RuntimeError, match="lost"):
+            store.recover()
+    monkeypatch.undo()
+    again = tables.PartitionedTables(spark, str(tmp_path), width=1)  # a new process
+    assert again.recover() == [run["run_id"]] and again.recover() == []
+    assert merged(again) == MERGED
+    loads.load(again, {t: df.where(f"{loads.TABLE_IDS[t]} is not null") for t, df in batch.items()}, a_run("incremental"),
+               full=False, anchor="2026-04-20", days=30)
+    assert merged(again) == MERGED
+
+
+def test_only_touched_partitions_are_read(spark, tmp_path):
     stored, batch = scope_case(spark)
-    store = tables.VersionedTables(spark, str(tmp_path), width=1)
-    store.commit(store.stage_all(stored, loads.TABLE_IDS))
-    before = {t: dict(store.parts(t)) for t in stored}
-    versions, written = loads.stage_merge(store, batch, anchor="2026-04-20", days=30)
-    store.commit(versions)
-    for t, kept in (("eventos", (1, store.NO_ID)), ("lutas", (1,)), ("lutadores", (7,))):
-        after = store.parts(t)
-        assert all((p, before[t][p]) in after for p in kept)
-        assert not {p for p, _ in written[t]} & set(kept)
-    assert len([p for p, _ in store.parts("lutas") if p == store.NO_ID]) == 2  # added to, not rewritten
-
-
-def test_second_of_two_loads_from_one_base_fails(spark, tmp_path):
-    store = tables.VersionedTables(spark, str(tmp_path))
-    base = store.seq()
-    store.commit({"t": store.stage("t", spark.range(3))}, base)
-    with pytest.raises(tables.ConcurrentCommit):
-        store.commit({"t": store.stage("t", spark.range(5))}, base)
-    assert store.read("t").count() == 3
+    store = stored_store(spark, tmp_path, stored, width=1)
+    touched = loads.materialize(store.ranges(batch["eventos"], "id_evento"), "touched")
+    got = store.read_ranges("eventos", touched, batch["eventos"].schema)
+    assert [r["id_evento"] for r in got.collect()] == [3]
+    assert "dynamicpruning" in got._jdf.queryExecution().executedPlan().toString().lower()
+    scans = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(faixa_id" in scans or "dynamicpruningexpression(faixa_id" in scans
 
 
 def test_contract_keeps_large_ids_and_refuses_to_lose_any(spark):
