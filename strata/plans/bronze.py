@@ -163,13 +163,14 @@ def run_bronze(spark: SparkSession, pages: DataFrame, out_root: str, *, dt: str,
 
 def run_job(spark: SparkSession, pages: DataFrame, out_root: str, ledger_path: str, *, full_load: bool,
             dt: str | None = None, anchor: str | None = None, **options) -> tuple[dict, BronzeResult]:
-    """The whole bronze stage: a new batch, the bronze sets, an audit row per set, a ledger row at the end.
+    """The whole bronze stage: a new batch, the bronze sets, the list of missing pages, audit rows, a ledger row at the end.
 
     Returns (batch, result). ``silver.load`` takes it from the ledger row.
     """
     batch = ledger.new_batch(dt)
     result = run_bronze(spark, pages, out_root, dt=batch["dt"], ingested_at=batch["started_at"].isoformat() + "Z",
                         full_load=full_load, anchor=anchor or batch["dt"], **options)
+    result.missing = keep_missing(spark, out_root, result.missing, pages)
     ledger.record_audit(spark, os.path.join(out_root, "_audit"), batch["run_id"], batch["dt"],
                         {f"bronze_{name}": n for name, n in result.counts.items()})
     ledger.record_run(spark, ledger_path, batch["run_id"], batch["dt"], "initial" if full_load else "incremental",
@@ -188,6 +189,24 @@ def fetch_frontier(index_keys: DataFrame, pages: DataFrame, kind: str, key: str,
     return index_keys.select(key).join(landed.select(F.col("page_key").alias(key)), key, "left_anti")
 
 
+MISSING_SCHEMA = "kind string, page_key string, url string"
+
+
+def keep_missing(spark: SparkSession, root: str, missing: DataFrame, pages: DataFrame) -> DataFrame:
+    """The stored list of pages that were wanted and have not landed, after one more run; returns it.
+
+    What earlier runs missed stays on the list until it lands on any day; what this run missed is added.
+    """
+    path = os.path.join(root, "missing_pages")
+    wanted = missing.select("kind", "page_key", "url")
+    if tables.path_exists(spark, path):
+        wanted = spark.read.schema(MISSING_SCHEMA).parquet(path).unionByName(wanted)
+    listed = dedupe.first_per_key(wanted.withColumn("_key", F.struct("kind", "page_key")), "_key", ["url"]).drop("_key")
+    open_ = loads.materialize(listed.join(pages.select("kind", "page_key"), ["kind", "page_key"], "left_anti"), "missing-pages")
+    open_.write.mode("overwrite").parquet(path)
+    return spark.read.schema(MISSING_SCHEMA).parquet(path)
+
+
 def read_bronze(spark: SparkSession, out_root: str, dt: str | None = None) -> dict[str, DataFrame]:
     """Bronze sets for one ``dt`` (``None`` = every partition) with ``dt_particao``."""
     from strata.schemas import BRONZE_EVENTS, BRONZE_FIGHTERS, BRONZE_FIGHTS

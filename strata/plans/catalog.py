@@ -935,3 +935,7 @@ QUERIES = {
     "incremental_merge": q_incremental_merge,
     "latest_run": q_latest_run,
 }
+
+from strata.plans import job_queries  # noqa: E402  (needs tbl and the parameters above)
+
+QUERIES.update(job_queries.QUERIES)

@@ -644,3 +644,7 @@ UNION ALL
 (SELECT '{C.ONE_DAY}', run_id, tipo_carga, iniciado_em FROM r WHERE status = 'concluido' AND dt = '{C.ONE_DAY}'
  ORDER BY iniciado_em DESC, run_id DESC LIMIT 1)""",
 }
+
+from strata.plans import job_oracles  # noqa: E402
+
+ORACLES.update(job_oracles.ORACLES)

@@ -173,7 +173,8 @@ class PartitionedTables:
         if id_col is None:
             df.write.mode("overwrite").parquet(path)
         else:
-            own = -1 - self.runs().where((F.col("estagio") == "silver") & (F.col("status") == ledger.PREPARED)).count()
+            earlier = self.runs().where((F.col("estagio") == "silver") & (F.col("status") == ledger.PREPARED))
+            own = -1 - earlier.agg(F.count("*").alias("n")).first()["n"]
             at = F.coalesce(F.floor(F.col(id_col) / self.width), F.lit(own)).cast("bigint")
             (df.withColumn(self.RANGE, at).hint("rebalance", self.RANGE).write.mode("overwrite")
              .option("partitionOverwriteMode", "static").partitionBy(self.RANGE).parquet(path))

@@ -11,21 +11,25 @@ way the batch job handles it: the newest ``ingested_at`` wins per key.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import os
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from strata.sources import ledger
+from strata.operators import dedupe, loads
+from strata.sources import ledger, tables
 from strata.sources.partitions import TS_OPTIONS
 
 
-def stream_partitions(spark: SparkSession, base: str, schema: StructType) -> DataFrame:
+def stream_partitions(spark: SparkSession, base: str, schema: StructType, files_per_batch: int | None = None) -> DataFrame:
     """Streaming read of a dated JSONL base; ``dt`` comes from the path as text."""
     full = StructType([*schema.fields, StructField("dt", StringType(), True)])
-    return (spark.readStream.schema(full).options(**TS_OPTIONS).option("basePath", base)
-            .json(base).withColumnRenamed("dt", "dt_particao"))
+    reader = spark.readStream.schema(full).options(**TS_OPTIONS).option("basePath", base)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.json(base).withColumnRenamed("dt", "dt_particao")
 
 
 def run_available(stream: DataFrame, checkpoint: str, handle_batch: Callable[[DataFrame, int], None]) -> None:
@@ -38,6 +42,36 @@ def run_available(stream: DataFrame, checkpoint: str, handle_batch: Callable[[Da
     q.awaitTermination()
 
 
+def merge_stream(spark: SparkSession, stream: DataFrame, table: str, checkpoint: str, *, key: str,
+                 order: Sequence[str], day: str = "dt_particao") -> None:
+    """Merge everything new in a stream into a table partitioned by ``day``: per key and day the row that is last by ``order``.
+
+    Each micro-batch writes again only the days that it has rows of. What it makes of them is
+    staged under the batch's number first. Spark repeats a batch that did not end under the same
+    number: if its staging is complete, it is put in place as it is, else it is computed again from
+    the untouched table. So a restart neither loses nor doubles rows, wherever the batch died.
+    """
+    schema = stream.schema
+
+    def handle(batch: DataFrame, epoch: int) -> None:
+        session = batch.sparkSession
+        staging = f"{table}_staging/batch={epoch}"
+        if not tables.path_exists(session, os.path.join(staging, "_SUCCESS")):
+            new = batch
+            if tables.path_exists(session, table):
+                days = loads.materialize(batch.select(day).where(F.col(day) > "").distinct(), "stream-days")
+                stored = session.read.schema(schema).parquet(table)
+                new = stored.join(F.broadcast(days), day, "left_semi").select(*schema.fieldNames()).unionByName(batch)
+            latest = dedupe.first_per_key(new.withColumn("_key", F.struct(key, day)), "_key",
+                                          [*[F.col(c).desc() for c in order], dedupe.content_hash(new)]).drop("_key")
+            latest.write.mode("overwrite").parquet(staging)
+        (session.read.schema(schema).parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(day).parquet(table))
+        tables.remove(session, staging)
+
+    run_available(stream, checkpoint, handle)
+
+
 def silver_on_new_runs(spark: SparkSession, bronze_root: str, store, ledger_path: str, checkpoint: str, *,
                        now, anchor: str | None = None) -> None:
     """Silver load for every completed bronze run not yet processed, in order of ``dt``.

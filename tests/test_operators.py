@@ -321,3 +321,32 @@ def test_prepare_fighters_fills_missing_inputs(spark):
     df = spark.createDataFrame([("a", "2024-01-01T00:00:00Z")], "fighter_id string, ingested_at string")
     out = rows(prepare_fighters(df))
     assert out[0]["fighter_id"] == "a" and out[0]["altura"] is None and out[0]["slpm"] is None
+
+
+def test_bad_lines_are_kept_apart_and_counted(spark, tmp_path):
+    from pyspark.sql.types import StructType
+    from strata.sources import partitions
+    part = tmp_path / "in" / "dt=2024-01-01"
+    part.mkdir(parents=True)
+    (part / "a.jsonl").write_text('{"a": 1, "b": "x"}\n\n{"a": 2\n{"a": "no number"}\n{"b": null}\n', encoding="utf-8")
+    schema = StructType.fromDDL("a long, b string")
+    for dt_, out in (("2024-01-01", "one"), (None, "all")):
+        good, bad, counts = partitions.read_quarantined(spark, str(tmp_path / "in"), schema, str(tmp_path / out), dt_)
+        assert counts == {"good": 2, "bad": 2}
+        assert sorted(map(str, rows(good))) == sorted(map(str, [{"a": 1, "b": "x", "dt_particao": "2024-01-01"},
+                                                                {"a": None, "b": None, "dt_particao": "2024-01-01"}]))
+        assert sorted(r["line"] for r in bad.collect()) == ['{"a": "no number"}', '{"a": 2']
+
+
+def test_old_files_have_the_default_of_a_later_column(spark, tmp_path):
+    from pyspark.sql.types import StringType, StructType
+    store = tables.PartitionedTables(spark, str(tmp_path), width=10)
+    schema = StructType([*StructType.fromDDL("id long").fields, tables.with_default("kind", StringType(), "'old'")])
+    loads_ = [(spark.createDataFrame([(1,), (25,)], "id long"), "table"), (spark.createDataFrame([(2, None), (3, "new")], "id long, kind string"), "ranges")]
+    for df, how in loads_:
+        run = a_run("incremental")
+        touched = store.ranges(df, "id") if how == "ranges" else None
+        out = df if touched is None else store.read_ranges("t", touched, schema).select("id", "kind").unionByName(df)
+        store.stage(run["run_id"], "t", out, "id", touched)
+        store.commit(run, {"t": (how, out.schema)})
+    assert sorted((r["id"], r["kind"]) for r in store.read("t", schema).collect()) == [(1, "old"), (2, None), (3, "new"), (25, "old")]

@@ -3,6 +3,7 @@
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from strata.plans.catalog import EVENT_SCHEMA
@@ -58,3 +59,50 @@ def test_stream_drives_silver_merge_and_refuses_late_days(spark):
     silver_on_new_runs(spark, root, store, runs, ckpt, now=now)
     assert sorted(store.read("eventos").inputFiles()) == first
     assert spark.read.parquet(runs).where("status = 'recusado' AND dt = '2024-05-20'").count() == 1
+
+
+@pytest.mark.parametrize("dies_at", ["staged", "placed"])
+def test_merge_stream_restarts_without_loss_or_doubles(spark, monkeypatch, dies_at):
+    """A batch that died after its staging, or after it was put in place, is repeated."""
+    from strata.sources import tables
+    from strata.streaming.incremental import merge_stream
+
+    root = tempfile.mkdtemp(prefix="strata-stream-merge-")
+    base, ckpt, table = (os.path.join(root, x) for x in ("in", "ckpt", "table"))
+    schema = "k long, v string, n long"
+    from pyspark.sql.types import StructType
+    kind = StructType.fromDDL(schema)
+    run = lambda: merge_stream(spark, stream_partitions(spark, base, kind, files_per_batch=1), table, ckpt, key="k", order=["n"])
+    land = lambda rows: partitions.write_partitions(spark.createDataFrame(rows, schema + ", dt string").coalesce(1), base)
+    land([(1, "a", 1, "2024-01-01"), (2, "b", 1, "2024-01-01"), (1, "other day", 1, "2024-01-02"), (5, "late", 3, "2024-01-02")])
+    run()
+    land([(1, "A", 2, "2024-01-01"), (3, "c", 1, "2024-01-01"), (5, "old", 1, "2024-01-02")])
+
+    remove, read = tables.remove, spark.read
+    lost = []
+
+    def dying(session, path):
+        if not lost:
+            lost.append(path)
+            raise RuntimeError("lost")
+        remove(session, path)
+
+    if dies_at == "placed":
+        monkeypatch.setattr(tables, "remove", dying)
+    else:
+        from strata.streaming import incremental
+        first = incremental.dedupe.first_per_key
+
+        def dying_first(*args):
+            if not lost:
+                lost.append("x")
+                raise RuntimeError("lost")
+            return first(*args)
+        monkeypatch.setattr(incremental.dedupe, "first_per_key", dying_first)
+    with pytest.raises(Exception, match="lost"):
+        run()
+    monkeypatch.undo()
+    run()
+    got = sorted((r["dt_particao"], r["k"], r["v"]) for r in read.schema(schema + ", dt_particao string").parquet(table).collect())
+    assert got == [("2024-01-01", 1, "A"), ("2024-01-01", 2, "b"), ("2024-01-01", 3, "c"),
+                   ("2024-01-02", 1, "other day"), ("2024-01-02", 5, "late")]
