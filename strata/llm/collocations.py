@@ -50,6 +50,8 @@ SLACK = 2
 STEP = 4
 SENT = 2_000_000
 SLICE = 8 << 20
+HASHES = 1 << 21
+SPREAD = 64
 COUNT = "decimal(15,0)"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Per byte: the end of a piece becomes a line feed, a tab a space, A-Z a-z; words are what is left between.
@@ -221,39 +223,54 @@ def _texts(documents: DataFrame) -> DataFrame:
 def often(documents: DataFrame) -> np.ndarray | None:
     """Sorted hashes of the words and pairs that occur LEAST times (and what clashes with them); None if over SENT.
 
-    A slice's hashes are dealt by their first bits to a few buckets for every shuffle partition and travel as one row per
-    bucket; a task adds the counts of one bucket at a time.
+    The hashes of some slices are dealt by their first bits to a few buckets for every shuffle partition and travel as one
+    row per bucket; a task adds the counts of one bucket at a time.
     """
     spark = documents.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bits = max(3, (8 * parts - 1).bit_length())
+    bits = max(3, (4 * parts - 1).bit_length())
+
+    def buckets(hashes: list, counts: list) -> pa.RecordBatch:
+        h, n = _added(np.concatenate(hashes), np.concatenate(counts))
+        bucket = h >> np.uint64(64 - bits)
+        begin = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))[:len(h)]
+        ends = np.append(begin[1:], len(h))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(bucket[begin].astype(np.int64)), pa.array([h[i:j].tobytes() for i, j in zip(begin, ends)], pa.binary()),
+             pa.array([n[i:j].tobytes() for i, j in zip(begin, ends)], pa.binary())], names=["bucket", "h", "n"])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, counts, held = [], [], 0
         for part in slices(batches):
             h, n = np.unique(np.concatenate([part.h, part.pairs()[1]]), return_counts=True)
-            bucket = h >> np.uint64(64 - bits)
-            begin = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))[:len(h)]
-            ends = np.append(begin[1:], len(h))
-            n = n.astype(np.uint32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket[begin].astype(np.int64)), pa.array([h[i:j].tobytes() for i, j in zip(begin, ends)], pa.binary()),
-                 pa.array([n[i:j].tobytes() for i, j in zip(begin, ends)], pa.binary())], names=["bucket", "h", "n"])
+            hashes.append(h)
+            counts.append(n)
+            held += len(h)
+            if held >= HASHES:
+                yield buckets(hashes, counts)
+                hashes, counts, held = [], [], 0
+        if held:
+            yield buckets(hashes, counts)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in whole_groups(batches, "bucket"):
             for _, rows in by_key(group, "bucket"):
-                h, n = (np.frombuffer(b"".join(rows.column(c).to_pylist()), t) for c, t in (("h", np.uint64), ("n", np.uint32)))
-                order = np.argsort(h)
-                h = h[order]
-                begin = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
-                h = h[begin][np.add.reduceat(n[order].astype(np.int64), begin) >= LEAST]
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], names=["h"])
+                h, n = _added(*(np.frombuffer(b"".join(rows.column(c).to_pylist()), t) for c, t in (("h", np.uint64), ("n", np.int64))))
+                yield pa.RecordBatch.from_arrays([pa.array(h[n >= LEAST].view(np.int64))], names=["h"])
 
     dealt = _texts(documents).mapInArrow(deal, "bucket long, h binary, n binary")
     added = dealt.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(add, "h long")
     return _sent(written(added, "often"))
 
 
+def _added(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes, sorted, and the sums of their counts."""
+    order = np.argsort(hashes)
+    h = hashes[order]
+    begin = np.flatnonzero(np.append(True, h[1:] != h[:-1]))[:len(h)]
+    return h[begin], np.add.reduceat(counts[order], begin) if len(h) else counts
+
+
 def _sent(hashes: DataFrame) -> np.ndarray | None:
     if hashes.count() > SENT:
         return None
@@ -306,11 +323,17 @@ def pair_counts(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     return written(pairs, "pairs"), counted.where("u is null").select("lang", F.col("a").alias("n"))
 
 
+def _first(df: DataFrame, top: int, *order) -> DataFrame:
+    """The first ``top`` rows of each language, numbered in ``rank``; a large language is cut to size in ``SPREAD`` parts."""
+    some = Window.partitionBy("lang", F.pmod(F.xxhash64(*df.columns), F.lit(SPREAD))).orderBy(*order)
+    few = df.withColumn("rank", F.row_number().over(some)).where(F.col("rank") <= top)
+    return few.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
+
+
 def _thresholds(pairs: DataFrame, open_: DataFrame | None, rank: int) -> DataFrame:
     """(lang, least) of the open languages: the score of the pair of that rank, 0 if there are fewer pairs."""
-    by_score = Window.partitionBy("lang").orderBy(F.col("score").desc())
-    mine = pairs if open_ is None else pairs.join(open_, "lang", "left_semi")
-    ranked = mine.select("lang", "score", F.row_number().over(by_score).alias("rank")).where(F.col("rank") <= rank)
+    mine = pairs if open_ is None else pairs.join(F.broadcast(open_), "lang", "left_semi")
+    ranked = _first(mine.select("lang", "u", "v", "score"), rank, F.col("score").desc())
     return ranked.groupBy("lang").agg(F.coalesce(F.min(F.when(F.col("rank") == rank, F.col("score"))), F.lit(0)).alias("least"))
 
 
@@ -333,7 +356,7 @@ def _triples(documents: DataFrame, grown: DataFrame) -> DataFrame:
 
 
 def _round(documents: DataFrame, pairs: DataFrame, least: DataFrame, top: int) -> DataFrame:
-    """The surviving phrases that reach their language's threshold (lang, least), ``top`` and one of each language at most."""
+    """The surviving phrases that reach their language's threshold (lang, least), the first ``top`` of each language."""
     reach = pairs.join(F.broadcast(least), "lang")  # a row per language
     settle = written(reach.where("score >= least").drop("bound", "least"), "settle")
     # what may outgrow a pair from the left: pairs that end where it begins and occur half as often at least
@@ -358,8 +381,7 @@ def _round(documents: DataFrame, pairs: DataFrame, least: DataFrame, top: int) -
                      F.when(F.col("by_first"), F.col("vw")).otherwise(F.col("f_w")).alias("r"),
                      F.least("first", "second").alias("score")))
     whole = two.unionByName(three.join(F.broadcast(least), "lang").where("score >= least").drop("least"))
-    order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
-    return whole.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    return _first(whole, top, F.col("score").desc(), F.col("a").desc(), F.col("phrase"))
 
 
 def mine(documents: DataFrame, top: int = TOP) -> DataFrame:
