@@ -16,8 +16,9 @@ most ``MAX_ROWS`` labelled rows per class, each of at most ``MAX_BYTES``
 bytes, chosen by the hash of their id. Everything else covers all rows.
 
 Defined results: a null text counts as empty; an empty text scores 0; without
-labelled rows of both classes every other text scores 0.5; extra columns and
-columns named like the result's are left alone (the caller names the result).
+labelled rows of both classes every other text scores 0.5; repeated rows each
+come out, with one score; columns named like the result's are replaced by it, all
+others stay.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import zstandard as zstd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -167,21 +168,20 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "quality",
     return fit([(r["text"], r["y"]) for r in rows], counts)
 
 
-def score(model: CompressionModel, text: Column) -> Column:
-    """Probability of label 1 for a text column (null: empty)."""
+def score(model: CompressionModel, text: Column, at_once: int = 64) -> Column:
+    """Probability of label 1 for a text column (null: empty). A few texts of an Arrow batch are Python objects at a time."""
 
-    @F.pandas_udf("double")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         measure = _Measure(model.good, model.bad) if model.weights else None
         beta = np.array(model.weights)
         for texts in batches:
-            texts = texts.fillna("")
-            if measure is None:
-                yield texts.map(lambda t: 0.5 if t else 0.0).astype(float)
-                continue
-            x = np.array([measure(t) for t in texts]).reshape(len(texts), _Measure.WIDTH)
-            p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-            yield pd.Series(np.where(x[:, 0] == 0, 0.0, p))
+            out = np.zeros(len(texts))
+            for i in range(0, len(texts), at_once):
+                for k, one in enumerate(texts.slice(i, at_once).to_pylist(), i):
+                    if one:
+                        out[k] = 0.5 if measure is None else 1 / (1 + np.exp(-np.clip(np.array(measure(one)) @ beta, -30, 30)))
+            yield pa.array(out)
 
     return run(text)
 
