@@ -116,12 +116,19 @@ def _safe(url: str) -> str:
     return re.sub(r"[\r\n\0]", lambda m: f"%{ord(m[0]):02X}", url)
 
 
+def _few(batches: Iterator[pa.RecordBatch], rows: int = 32) -> Iterator[pa.RecordBatch]:
+    """Batches of a few rows: what a task makes of them is all that it holds besides the batch."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
 def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
     task, number = TaskContext.get().partitionId(), 0
     head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
-    for batch in batches:
+    for batch in _few(batches):
         out = []
         for row in batch.to_pylist():
             page, payload = row["page_id"], (row["payload"] or "").encode("utf-8", "surrogatepass")
@@ -211,7 +218,7 @@ def _parsed(segments: bool):
 
 
 def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _few(batches):
         payloads, sizes, digests, fine = [], [], [], []
         for block, kind, stated, whole in zip(*(batch.column(c).to_pylist() for c in ("block", "record_type", "digest", "whole"))):
             payload = http_payload(block) if whole and kind == "response" else None
