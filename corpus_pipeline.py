@@ -17,8 +17,7 @@ from strata.llm.queries import tokenizer
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
-    columns = docs.columns
-    return quality.classify(docs, table(spark, sf_dir, "labels")).where("predicted = 1").select(*columns)
+    return quality.accepted(docs, table(spark, sf_dir, "labels"))
 
 
 def neardup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

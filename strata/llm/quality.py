@@ -198,3 +198,10 @@ def classify(documents: DataFrame, labels: DataFrame) -> DataFrame:
     return (documents.withColumn("held_out", held_out(F.col("doc_id")))
             .withColumn("score", score(model, whole_text()))
             .withColumn("predicted", (F.col("score") >= KEEP_AT).cast("int")))
+
+
+def accepted(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents that the classifier keeps, all columns as they are, whatever their names."""
+    prepare(documents.sparkSession)
+    model = train(documents, labels.where(~held_out(F.col("doc_id"))))
+    return documents.where(score(model, whole_text()) >= KEEP_AT)

@@ -38,3 +38,14 @@ def test_labels_of_held_out_rows_are_never_learnt(spark):
     turned = labels.withColumn("quality", F.when(quality.held_out(F.col("doc_id")), 1 - F.col("quality")).otherwise(F.col("quality")))
     a, b = (sorted(tuple(r) for r in quality.classify(docs, x).select("doc_id", "score").collect()) for x in (labels, turned))
     assert a == b
+
+
+def test_accepted_documents_keep_their_own_columns(spark):
+    docs = spark.read.parquet(f"{SF_ORACLE}/documents.parquet").select("doc_id", "text").selectExpr("*", "-1 as score", "'x' as predicted")
+    labels = spark.read.parquet(f"{SF_ORACLE}/labels.parquet")
+    got = quality.accepted(docs, labels)
+    assert got.schema == docs.schema
+    rows = got.collect()
+    assert all(r["score"] == -1 and r["predicted"] == "x" for r in rows)
+    want = [r["doc_id"] for r in quality.classify(docs.select("doc_id", "text"), labels).where("predicted = 1").collect()]
+    assert sorted(r["doc_id"] for r in rows) == sorted(want)
