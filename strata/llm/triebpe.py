@@ -30,17 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import prepare
-from strata.llm.units import WHITE, UnitEncoder, id_bytes
-
-# The pattern of byte-level tokenizers, with the white space spelled out.
-WORDS = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^{W}\p{L}\p{N}]+|[{W}]+(?![^{W}])|[{W}]+").replace("{W}", WHITE)
-
-
-def byte_letters() -> dict:
-    """The printable character that stands for each byte in byte-level vocabularies."""
-    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    hidden = [b for b in range(256) if b not in set(printable)]
-    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+from strata.llm.units import WORDS, UnitEncoder, byte_letters, id_bytes
 
 
 class TrieBPE:

@@ -3,25 +3,40 @@
 Byte-level BPE never merges across the start of a white-space run, and the
 pattern that cuts a text before the merges looks no further back than the run,
 so a text's ids are the ids of its units, one after the other. A unit that
-occurred before is a dictionary look-up. The dictionaries are bounded and
-forgotten when full, which changes the time, not the result.
+occurred before is a dictionary look-up. Punctuation that ends a unit after a
+letter or digit is a piece of its own for the pattern, so a new unit is put
+together from its stem and its tail where these are known. What remains is cut
+by the pattern and goes to the library's BPE model piece by piece; units with
+characters beyond Latin or with a special token go through its whole encoder.
+The dictionaries are bounded in bytes and forgotten when full, which changes
+the time, not the result.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Callable
 
 import numpy as np
+import regex
 
 # The white space of the pre-tokenizer's pattern (fixed values: Unicode's White_Space property).
 WHITE = "\t-\r \x85\xa0  -     　"
 _RUNS = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 # Where a single space does not start a unit: after other white space.
 _LOOSE = re.compile(f"[{WHITE}] ")
-CACHED = 300_000
+# The pattern of byte-level tokenizers, with the white space spelled out.
+WORDS = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^{W}\p{L}\p{N}]+|[{W}]+(?![^{W}])|[{W}]+").replace("{W}", WHITE)
+_LATIN = re.compile("[ -~\n\u00a1-\u024f]+").fullmatch
+# Bytes of one generation of a dictionary; what an entry takes beside its text and ids.
+CACHED = 48 << 20
+ENTRY = 200
 LONGEST = 64
+# Where a tail can be cut off a unit: these marks (no apostrophe, none of a special token) after a Latin letter or a digit.
+TAIL = ".,;:!?&#$%*)"
+_ENDS = frozenset("0123456789" + "".join(c for c in map(chr, range(0x250)) if c.isalpha()))
 
 
 class _Known:
@@ -35,25 +50,47 @@ class _Known:
         self.young: dict = {}
         self.old: dict = {}
         self.long: list = []
+        self.held = 0
 
     def missing(self, used: set) -> list:
         """Units of ``used`` that have to be encoded; those of the old generation are taken over."""
         new = used.difference(self.young)
         kept = [u for u in new if u in self.old]
-        self.young.update(zip(kept, map(self.old.__getitem__, kept)))
+        self._hold(kept, list(map(self.old.__getitem__, kept)))
         return list(new.difference(kept)) if kept else list(new)
 
-    def learn(self, units: list, ids: list) -> None:
+    def learn(self, units: list, encode: Callable[[list], list]) -> None:
+        """``units`` by ``encode``, which gives ids; tails are cut off first, stems are learnt as well."""
+        cut, wanted = [], {}
+        for unit in units:
+            stem = unit.rstrip(TAIL)
+            if stem and len(stem) < len(unit) and stem[-1] in _ENDS:
+                cut.append((unit, stem, unit[len(stem):]))
+                wanted[stem] = None
+            else:
+                wanted[unit] = None
+        plain = self.missing(set(wanted))
+        if plain:
+            self._hold(plain, encode(plain))
+        tails: dict = {tail: None for _, _, tail in cut}
+        if tails:
+            tails = dict(zip(tails, encode(list(tails), bare=True)))
+            self._hold([u for u, _, _ in cut], [self.young[stem] + tails[tail] for _, stem, tail in cut])
+
+    def _hold(self, units: list, ids: list) -> None:
         self.young.update(zip(units, ids))
+        self.held += ENTRY * len(units) + sum(map(len, units)) + sum(map(len, ids))
         self.long += [u for u in units if len(u) > LONGEST]
 
     def settle(self) -> None:
         """Forget what is long; change generations when the young one is full."""
         for unit in self.long:
-            del self.young[unit]
+            ids = self.young.pop(unit, None)
+            if ids is not None:
+                self.held -= ENTRY + len(unit) + len(ids)
         self.long = []
-        if len(self.young) > CACHED:
-            self.old, self.young = self.young, {}
+        if self.held > CACHED:
+            self.old, self.young, self.held = self.young, {}, 0
 
 
 class UnitEncoder:
@@ -80,7 +117,7 @@ class UnitEncoder:
         for known, used, before in ((self.whole, whole, ""), (self.spaced, spaced, " ")):
             new = known.missing(used)
             if new:
-                known.learn(new, self.encode([before + u for u in new]))
+                known.learn(new, lambda units, bare=False, b=before: self.encode(units if bare else [b + u for u in units]))
         of_unit, of_word = self.whole.young.__getitem__, self.spaced.young.__getitem__
         out = [b"".join(map(of_unit, units)) if rest is None else of_unit(units[0]) + b"".join(map(of_word, rest))
                for units, rest in plans]
@@ -89,6 +126,47 @@ class UnitEncoder:
         return out
 
 
+def byte_letters() -> dict:
+    """The printable character that stands for each byte in byte-level vocabularies."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in set(printable)]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+def piecewise(tokenizer) -> Callable[[list], list]:
+    """Units to their ids as bytes by a byte-level tokenizer of the library."""
+    whole = lambda units: [np.array(e.ids, "<u4").tobytes()
+                           for e in tokenizer.encode_batch_fast(units, add_special_tokens=False)]
+    shape = json.loads(tokenizer.to_str())
+    cutter = shape["pre_tokenizer"] or {}
+    if (cutter.get("type"), cutter.get("add_prefix_space"), cutter.get("use_regex")) != ("ByteLevel", False, True) or shape["normalizer"]:
+        return whole
+    special = regex.compile("|".join(regex.escape(t["content"]) for t in shape["added_tokens"]) or "(?!)")
+    model, letters, cut = tokenizer.model, byte_letters(), regex.compile(WORDS)
+
+    def of_piece(piece: str) -> bytes:
+        tokens = model.tokenize(piece.encode().decode("latin-1").translate(letters))
+        return np.array([t.id for t in tokens], "<u4").tobytes()
+
+    def encode(units: list) -> list:
+        out, rest = [], []
+        for unit in units:
+            if unit.isascii() and unit[1:].isalpha() and (unit[0] == " " or unit[0].isalpha()) and not special.search(unit):
+                out.append(of_piece(unit))
+            elif _LATIN(unit) and not special.search(unit):
+                out.append(b"".join(map(of_piece, cut.findall(unit))))
+            else:
+                rest.append(len(out))
+                out.append(unit)
+        for k in range(0, len(rest), 1024):
+            some = rest[k:k + 1024]
+            for i, ids in zip(some, whole([out[i] for i in some])):
+                out[i] = ids
+        return out
+
+    return encode
+
+
 _LOADED: dict = {}
 
 
@@ -101,15 +179,7 @@ def library_encoder(path: str) -> UnitEncoder:
         tokenizer = Tokenizer.from_file(path)
         tokenizer.no_truncation()
         tokenizer.no_padding()
-
-        def encode(units: list) -> list:
-            out = []
-            for i in range(0, len(units), 1024):
-                out += [np.array(e.ids, "<u4").tobytes()
-                        for e in tokenizer.encode_batch_fast(units[i:i + 1024], add_special_tokens=False)]
-            return out
-
-        _LOADED[path] = UnitEncoder(encode)
+        _LOADED[path] = UnitEncoder(piecewise(tokenizer))
     return _LOADED[path]
 
 
