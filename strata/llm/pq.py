@@ -20,9 +20,12 @@ Equal vectors are one class with a count, so copies cost nothing. The members
 of a list are cut into blocks of ``BLOCK`` and those that probe it into chunks
 of ``CHUNK``; each pair of blocks is a unit of work, so a hot list is spread.
 
+Vectors of each length are searched by themselves, with a model of their own;
+the lengths in use are few and the driver goes through them.
+
 Defined results: vectors that are null, empty, zero or hold a null or
-non-finite component link with nothing, and neither do vectors of another
-length than the most frequent one or rows without an id (component null).
+non-finite component link with nothing, and neither do rows without an id
+(component null). Vectors of different lengths do not link.
 Rows that repeat an id are vectors of their own; they share its component.
 """
 
@@ -46,6 +49,7 @@ WORDS = 64
 LIST_SIZE = 1024
 MAX_LISTS = 2048
 SAMPLE_A_LIST = 64
+SLICE = 1024
 MAX_SAMPLE = 32768
 BLOCK = 1024
 CHUNK = 4096
@@ -140,21 +144,13 @@ def _unit(raw: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x ** 2).sum(axis=1, keepdims=True))
 
 
-def _can_link(d: int | None = None) -> Column:
-    """Whether a row's vector can link at all, and has ``d`` components if given."""
+def _can_link() -> Column:
+    """Whether a row's vector can link at all."""
     finite = lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))
-    length = F.size("embedding") > 0 if d is None else F.size("embedding") == d
-    return F.coalesce(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & length
+    return F.coalesce(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & (F.size("embedding") > 0)
                       & F.forall("embedding", finite) & F.exists("embedding", lambda v: v != 0), F.lit(False))
 
 
-def usual_length(vectors: DataFrame) -> int:
-    """The most frequent number of components of the vectors that can link; 0 without any."""
-    usual = (vectors.where(_can_link()).groupBy(F.size("embedding").alias("d")).agg(F.count("*").alias("n"))
-             .orderBy(F.desc("n"), "d").first())
-    return usual["d"] if usual else 0
-
-
 def _matrix(column, kind) -> np.ndarray:
     flat = column.flatten() if isinstance(column, (pa.ListArray, pa.LargeListArray)) else column.combine_chunks().flatten()
     return flat.to_numpy(zero_copy_only=False).astype(kind).reshape(len(column), -1)
@@ -165,9 +161,7 @@ def index(classes: DataFrame, model: Model) -> DataFrame:
     id_type, v_type = dict(classes.dtypes)["key"], dict(classes.dtypes)["embedding"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
+        for batch in (b.slice(k, SLICE) for b in batches for k in range(0, b.num_rows, SLICE)):
             x = _unit(_matrix(batch.column("embedding"), np.float64))
             own, probed = model.lists(x)
             codes, errors = model.encode(x, own)
@@ -259,29 +253,35 @@ def links(indexed: DataFrame, model: Model) -> DataFrame:
             .mapInArrow(_searched(model), "a long, b long, links long"))
 
 
+def _found(classes: DataFrame, n: int, cosine: float, max_lists: int, max_sample: int) -> DataFrame:
+    """``links`` of ``n`` classes of one length."""
+    lists = max(1, min(max_lists, n // LIST_SIZE))
+    sample = classes.orderBy(F.xxhash64("rep", "embedding"), "key").limit(min(max_sample, max(SAMPLE_A_LIST * lists, 4 * WORDS)))
+    model = fit(_unit(_matrix(sample.select("embedding").toArrow().column("embedding"), np.float64)), lists, cosine)
+    return written(links(written(index(classes, model), "index"), model), "links")
+
+
 def link(vectors: DataFrame, cosine: float = COSINE, max_lists: int = MAX_LISTS, max_sample: int = MAX_SAMPLE) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row of ``vectors`` (vec_id, embedding).
 
-    The model is fitted on at most ``max_sample`` classes, by hash; beyond ``max_lists`` lists of
+    A length's model is fitted on at most ``max_sample`` classes, by hash; beyond ``max_lists`` lists of
     ``LIST_SIZE`` vectors the lists grow and are worked through in blocks.
     """
     prepare(vectors.sparkSession)
     vectors = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
-    can = _can_link(usual_length(vectors))
+    can = _can_link()
     fine = vectors.where(can)
     classes = written(fine.groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("many"))
                       .withColumn("key", F.monotonically_increasing_id()), "classes")
-    n = classes.count()
-    lists = max(1, min(max_lists, n // LIST_SIZE))
-    sample = classes.orderBy(F.xxhash64("rep", "embedding"), "key").limit(min(max_sample, max(SAMPLE_A_LIST * lists, 4 * WORDS)))
-    few = [r["embedding"] for r in sample.select("embedding").collect()]
     rest = vectors.where(~can).select("vec_id", F.lit(0).cast("long").alias("n_links"),
                                       F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    if not few:
+    sizes = classes.groupBy(F.size("embedding").alias("d")).agg(F.count("*").alias("n")).orderBy("d").collect()  # a row a length
+    if not sizes:
         return rest
-    model = fit(_unit(np.array(few)), lists, cosine)
-    indexed = written(index(classes, model), "index")
-    found = written(links(indexed, model), "links")
+    found = vectors.sparkSession.createDataFrame([], "a long, b long, links long")
+    for d, n in sizes:
+        if n > 1:
+            found = found.unionAll(_found(classes.where(F.size("embedding") == d), n, cosine, max_lists, max_sample))
     counts = found.groupBy(F.col("a").alias("key")).agg(F.sum("links").alias("others"))
     # rows to their class again: copies are linked with each other, and all of them with the class's links
     linked = fine.join(classes, "embedding").join(counts, "key", "left").select(
