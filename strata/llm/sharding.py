@@ -116,8 +116,9 @@ def read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
         F.regexp_extract("shard", "-([0-9]+)$", 1).cast("long").alias("part"), "shard_bytes")
 
 
-#: DuckDB SQL for the result of ``shard`` (the depth that its hash can need is bounded by 40 here).
-ORACLE = f"""
+def oracle(max_bytes: int = MAX_BYTES) -> str:
+    """DuckDB SQL for the result of ``shard``; rows of one hash that do not fit are equal in all that it returns."""
+    return f"""
 WITH r AS (
   SELECT doc_id, coalesce(strlen(text), 0)::BIGINT AS bytes,
          ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || ':' || md5(coalesce(text, ''))), 1, {BITS // 4}))::BIGINT AS h,
@@ -125,13 +126,24 @@ WITH r AS (
   FROM documents),
 s AS (
   SELECT d, h >> ({BITS} - d) AS p, sum(bytes) AS s
-  FROM r, range(0, 41) AS t(d) GROUP BY ALL),
+  FROM r, range(0, {BITS + 1}) AS t(d) GROUP BY ALL),
 leaf AS (
-  SELECT r.r, any_value(doc_id) AS doc_id, any_value(bytes) AS bytes, any_value(h) AS h,
-         min(d)::INTEGER AS depth, max(s) AS shard_bytes
-  FROM r, s WHERE s.p = r.h >> ({BITS} - s.d) AND s.s <= {MAX_BYTES} GROUP BY r.r)
+  SELECT r.r, min(d)::INTEGER AS depth, max(s) AS shard_bytes
+  FROM r, s WHERE s.p = r.h >> ({BITS} - s.d) AND s.s <= {max_bytes} GROUP BY r.r),
+dealt AS (
+  SELECT r.r, r.h, r.bytes,
+         ((row_number() OVER (PARTITION BY r.h ORDER BY r.r) - 1) // greatest(1, {max_bytes} // greatest(1, r.bytes)))::BIGINT AS part
+  FROM r ANTI JOIN leaf ON r.r = leaf.r),
+placed AS (
+  SELECT r, depth, 0::BIGINT AS part, shard_bytes FROM leaf
+  UNION ALL
+  SELECT r, {BITS}, part, sum(bytes) OVER (PARTITION BY h, part) FROM dealt)
 SELECT doc_id, bytes, depth,
        CASE WHEN depth = 0 THEN '' ELSE lpad(bin(h >> ({BITS} - depth)), depth, '0') END AS prefix,
-       0::BIGINT AS part, shard_bytes::BIGINT AS shard_bytes
-FROM leaf
+       part, shard_bytes::BIGINT AS shard_bytes
+FROM r JOIN placed USING (r)
 """
+
+
+#: The SQL of the registered query.
+ORACLE = oracle()

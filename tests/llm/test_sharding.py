@@ -14,6 +14,20 @@ def test_query_as_sql(spark):
     assert got == sorted(con.execute(sharding.ORACLE).fetchall())
 
 
+def test_small_limits_as_sql(spark, tmp_path):
+    rows = [(7, "x" * 100)] * 50 + [(None, None), (None, ""), (1, ""), (2, "y" * 5000)] + [(2, "y" * 5000)] * 2
+    rows += [(i, "é" * (i % 90)) for i in range(100, 900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    df.write.parquet(f"{tmp_path}/d")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/d/*.parquet'")
+    for limit in (1000, 1 << 20):
+        got = sorted((tuple(r) for r in sharding.shard(df, limit).select(
+            "doc_id", "bytes", "depth", "prefix", "part", "shard_bytes").collect()), key=repr)
+        assert len(got) == len(rows)
+        assert got == sorted(con.execute(sharding.oracle(limit)).fetchall(), key=repr)
+
+
 def test_every_shard_fits_and_only_oversized_ones_split(spark):
     rows = [(7, "x" * 100)] * 50 + [(None, None), (None, ""), (1, ""), (2, "y" * 5000)] + [(i, "z" * (i % 90)) for i in range(100, 900)]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as cell", "2 as h", "3 as task")
