@@ -18,8 +18,9 @@ length is taken, else the longest.
 Kinds: ``email``, ``ip`` (parts up to 255), ``card`` (13 to 19 digits, Luhn),
 ``phone`` (9 to 15 digits); beyond these ``iban`` (mod-97) and ``secret``
 (32 to 64 hexadecimal digits; needs a context word). Each span has a score:
-the kind's prior, raised by a checksum and by words before the match that
-speak of the kind. The four base kinds are always reported; the others from
+the kind's prior, raised by a checksum and by whole words (or their plural with
+s) among the ``CONTEXT`` characters before the match that speak of the kind; a
+word that this window may cut does not count. The four base kinds are always reported; the others from
 ``THRESHOLD``.
 
 Defined results: a null text counts as empty, an empty text has no spans;
@@ -53,17 +54,17 @@ class Kind:
 
 KINDS = (
     Kind("email", r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
-         "[@]", 0.8, 0.0, ("mail", "contact", "write", "kontakt", "correo", "courriel")),
+         "[@]", 0.8, 0.0, ("mail", "email", "contact", "write", "kontakt", "correo", "courriel")),
     Kind("ip", r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}", "[0-9]", 0.6, 0.0,
          ("ip", "host", "server", "address", "adresse")),
     Kind("card", r"[0-9]++(?:[ -]?[0-9]++)*+", "[0-9]", 0.4, 0.4,
          ("card", "visa", "credit", "karte", "tarjeta", "carte")),
     Kind("phone", r"\+[0-9][ ().0-9-]+[0-9]", "[+]", 0.6, 0.0,
-         ("phone", "call", "tel", "mobile", "fax")),
+         ("phone", "telephone", "telefon", "call", "tel", "mobile", "fax")),
     Kind("iban", r"(?<![A-Za-z0-9])(?=[A-Z]{2}[0-9]{2} ?[A-Z0-9])", "[0-9]", 0.2, 0.6,
-         ("iban", "account", "konto", "cuenta", "compte", "bank"), base=False),
+         ("iban", "account", "konto", "kontonummer", "cuenta", "compte", "bank"), base=False),
     Kind("secret", r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![A-Za-z0-9])", "[0-9]", 0.3, 0.0,
-         ("token", "secret", "key", "password", "passwd", "credential"), base=False),
+         ("token", "secret", "key", "apikey", "password", "passwd", "credential"), base=False),
 )
 IBAN_RUN = "^[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}"
 IBAN_LONGEST = 2 * 34 - 1
@@ -186,11 +187,12 @@ def _ibans(text: Column, kind: Kind) -> Column:
 def _scored(kind: Kind, proposed: Column) -> Column:
     """Matches that hold, as array of (kind, start, end, score)."""
     kept = F.filter(proposed, lambda m: _valid(kind, m["match"]))
-    spoken = "|".join(kind.words)
+    spoken = r"(?<![\p{L}\p{N}])(?:" + "|".join(kind.words) + r")s?(?![\p{L}\p{N}])"
+    uncut = lambda b: F.when(F.length(b) >= CONTEXT, F.regexp_replace(b, r"^[\p{L}\p{N}]+", "")).otherwise(b)
     spans = F.transform(kept, lambda m: F.struct(
         F.lit(kind.name).alias("kind"), m["start"].alias("start"), m["end"].alias("end"),
         F.round(F.least(F.lit(1.0), F.lit(kind.prior + kind.confirmed)
-                        + F.when(F.lower(m["before"]).rlike(spoken), 0.2).otherwise(0.0)), 2).alias("score")))
+                        + F.when(F.lower(uncut(m["before"])).rlike(spoken), 0.2).otherwise(0.0)), 2).alias("score")))
     return spans if kind.base else F.filter(spans, lambda s: s["score"] >= THRESHOLD)
 
 

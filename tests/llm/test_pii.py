@@ -72,3 +72,12 @@ def test_ibans_before_and_after_capital_and_number_words(spark):
         assert [text[a:b] for k, a, b in got[i] if k == "iban"] == want[i], text[:60]
     df = spark.createDataFrame([(1, texts[0])], "doc_id long, text string")
     assert "[IBAN] BIC COBADEFFXXX" == pii.redact(df).first()["text"]
+
+
+def test_context_words_are_whole_words(spark):
+    secret = "0123456789abcdef" * 2
+    no = [f"monkey {secret}", f"tokenizer {secret}", f"keyé {secret}", secret, f"on{'x' * 60}key {secret}",
+          f"mon key{'.' * 60}{secret}", f"{'a' * 30} {'mon'}key{' ' * 45}{secret}"]
+    yes = [f"key {secret}", f"API_KEY={secret}", f"Tokens: {secret}", f"the apikey is {secret}", f"{'a' * 90} secret: {secret}"]
+    got = found(spark, no + yes)
+    assert [any(k == "secret" for k, _, _ in got[i]) for i in range(len(no + yes))] == [False] * len(no) + [True] * len(yes)
