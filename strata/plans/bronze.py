@@ -67,11 +67,11 @@ def latest_pages(pages: DataFrame, kind: str, dt: str | None = None) -> DataFram
     p = pages.where(F.col("kind") == kind)
     if dt is not None:
         p = p.where(F.col("dt") == dt)
-    p = p.select("page_key", "dt", "html", F.xxhash64("html").alias("_hash"))
     # latest day; of several landings on it, the smallest hash
-    chosen = p.groupBy("page_key").agg(F.max(F.struct("dt", F.bitwise_not("_hash").alias("_flipped"))).alias("_w")).select(
-        "page_key", "_w.dt", F.bitwise_not("_w._flipped").alias("_hash"))
-    won = p.join(chosen, ["page_key", "dt", "_hash"], "left_semi")
+    p = p.select("page_key", "html", F.struct("dt", F.bitwise_not(F.xxhash64("html"))).alias("_at"))
+    last = p.groupBy(F.col("page_key").alias("_key")).agg(F.max("_at").alias("_last"))
+    # the key is the only equality, so that both sides and the pages kept are partitioned by it
+    won = p.join(last, (F.col("page_key") == F.col("_key")) & (F.col("_at") >= F.col("_last")), "left_semi")
     return won.dropDuplicates(["page_key"]).select("page_key", "html")
 
 

@@ -77,3 +77,21 @@ def test_scale_conf_sizes_partitions():
     c = scale_conf(100 * 1024 ** 4, 8000)
     assert int(c["spark.sql.shuffle.partitions"]) * int(c["spark.sql.files.maxPartitionBytes"]) >= 100 * 1024 ** 4
     assert int(scale_conf(10 * 1024 ** 2, 8)["spark.sql.shuffle.partitions"]) == 24
+
+
+def test_latest_pages_are_partitioned_by_their_key_once(spark):
+    from strata.plans.bronze import latest_pages
+
+    rows = [("e", "a", "d1", "x"), ("e", "a", "d2", "y"), ("e", "a", "d2", "y"), ("e", "b", "d1", "q"),
+            ("e", None, "d1", "q"), ("e", "c", "d1", None), ("f", "a", "d9", "z")]
+    df = spark.createDataFrame(rows, "kind string, page_key string, dt string, html string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = latest_pages(df, "e")
+        p = plan(got)
+        assert sorted(map(tuple, got.collect())) == [("a", "y"), ("b", "q"), ("c", None)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # keys with their latest landing, and the pages: nothing more is moved
+    assert p.count("Exchange hashpartitioning") == 2
