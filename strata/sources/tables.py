@@ -98,6 +98,15 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Put a folder of the shared file system in the place of another."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(source).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(path(target), True)
+    if not fs.rename(path(source), path(target)):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
 def with_default(name: str, dtype: DataType, default: str | None = None) -> StructField:
     """A column that was added later: rows of older files have ``default`` (an SQL literal; none: null)."""
     return StructField(name, dtype, True, {} if default is None else {"CURRENT_DEFAULT": default, "EXISTS_DEFAULT": default})
@@ -219,18 +228,21 @@ class PartitionedTables:
         if kind == "plain":
             self.spark.read.schema(schema).parquet(path).write.mode("overwrite").parquet(self.path(table))
             return
+        if kind == "table":
+            # staged whole and as the table is laid out: moved, not written again; gone from staging once it is in place
+            if path_exists(self.spark, path):
+                move(self.spark, path, self.path(table))
+            return
         staged = self._read(path, table, schema)
-        mode = "static" if kind == "table" else "dynamic"
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(self.RANGE)
+        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(self.RANGE)
          .parquet(self.path(table)))
-        if kind == "ranges":
-            # a range that lost all its rows is not among the staged ones: its partition is emptied
-            touched = self.spark.read.parquet(self._staging(run_id, "_touched", table))
-            emptied = touched.join(staged.select(self.RANGE).distinct(), self.RANGE, "left_anti").collect()
-            for row in emptied:
-                at = os.path.join(self.path(table), f"{self.RANGE}={row[self.RANGE]}")
-                if path_exists(self.spark, at):
-                    empty_like(self.spark, schema).write.mode("overwrite").parquet(at)
+        # a range that lost all its rows is not among the staged ones: its partition is emptied
+        touched = self.spark.read.parquet(self._staging(run_id, "_touched", table))
+        emptied = touched.join(staged.select(self.RANGE).distinct(), self.RANGE, "left_anti").collect()
+        for row in emptied:
+            at = os.path.join(self.path(table), f"{self.RANGE}={row[self.RANGE]}")
+            if path_exists(self.spark, at):
+                empty_like(self.spark, schema).write.mode("overwrite").parquet(at)
 
 
 def observed_write(df: DataFrame, name: str, path: str, fmt: str = "parquet",
