@@ -137,7 +137,8 @@ def run_bronze(spark: SparkSession, pages: DataFrame, out_root: str, *, dt: str,
 
     fight_pages = latest_pages(pages, "fight", dt).join(tasks.select("page_key").distinct(), "page_key", "left_semi")
     read = loads.materialize(page_rules.fight_pages(fight_pages), "bronze-fight-pages")
-    joined = loads.materialize(tasks.join(read, "page_key"), "bronze-fights")
+    # pages and what is read of them are many times their compressed size: not to be broadcast
+    joined = loads.materialize(tasks.join(read.hint("merge"), "page_key"), "bronze-fights")
     fights = land("lutas", page_rules.fight_records(joined.withColumn("ingested_at", F.lit(ingested_at))))
     missing_fights = tasks.join(read.select("page_key"), "page_key", "left_anti").select(
         F.lit("fight").alias("kind"), "page_key", F.col("fight_url").alias("url"))
@@ -153,7 +154,7 @@ def run_bronze(spark: SparkSession, pages: DataFrame, out_root: str, *, dt: str,
 
     fighter_pages = latest_pages(pages, "fighter").withColumnRenamed("page_key", "fighter_id")  # any dt: newest landing wins
     fighters = land("lutadores", page_rules.extract_fighters(
-        fighter_index.join(fighter_pages, "fighter_id").select("html", "profile_url", "ingested_at")))
+        fighter_index.join(fighter_pages.hint("merge"), "fighter_id").select("html", "profile_url", "ingested_at")))
     missing_fighters = (fighter_index.join(fighter_pages.select("fighter_id"), "fighter_id", "left_anti")
                         .select(F.lit("fighter").alias("kind"), F.col("fighter_id").alias("page_key"),
                                 F.col("profile_url").alias("url")))

@@ -95,3 +95,11 @@ def test_latest_pages_are_partitioned_by_their_key_once(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     # keys with their latest landing, and the pages: nothing more is moved
     assert p.count("Exchange hashpartitioning") == 2
+
+
+def test_pages_are_never_broadcast(spark):
+    # markup is made of a small file's rows, or read from files that compress it many times: by its estimate it would fit
+    from strata.plans import job_queries as J
+    for df in (J._fighter_pages(spark, SF_SMALL), J.q_fight_documents(spark, SF_SMALL)):
+        p = plan(df)
+        assert "SortMergeJoin" in p and "BroadcastExchange" not in p
