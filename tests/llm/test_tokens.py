@@ -6,6 +6,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -56,6 +57,22 @@ def test_a_full_cache_changes_nothing(monkeypatch):
         assert encoder(texts) == [np.array(ids(t), "<u4").tobytes() for t in texts]
 
 
+def test_line_ends_and_tails_make_no_new_units():
+    asked = []
+    encoder = units.UnitEncoder(lambda us: asked.extend(us) or [np.array(ids(u), "<u4").tobytes() for u in us])
+    rng = random.Random(2)
+    texts = ["".join(rng.choice(["on", "to", "we"]) + rng.choice([" ", ", ", ".\n", "!?\n\n", "\t"]) for _ in range(200)) for _ in range(20)]
+    assert encoder(texts) == [np.array(ids(t), "<u4").tobytes() for t in texts]
+    assert len(asked) == len(set(asked)) and not any("\n" in u[1:].lstrip("\n") or u != "," and u.endswith(",") for u in asked)
+
+
+def test_texts_a_few_at_a_time():
+    column = pa.array([None, "", "a b", "long, " * 50, None, "a b\nc"])
+    for batch, held in ((1, 1 << 20), (4, 1), (256, 1 << 20)):
+        got = list(units.id_bytes(units.library_encoder(PATH), column, batch, held))
+        assert got == [np.array(ids(t), "<u4").tobytes() for t in column.to_pylist()]
+
+
 def test_trie_round_trip(docs):
     want = sorted((r["doc_id"] or -1, len(n := ids(r["text"])), hashlib.sha256(np.array(n, "<u4").tobytes()).hexdigest(),
                    hashlib.sha256(LIBRARY.decode(n, skip_special_tokens=False).encode()).hexdigest()) for r in docs.collect())
